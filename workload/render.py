@@ -27,6 +27,12 @@ def with_parts(events: DataFrame) -> DataFrame:
         "concat(date_format(ts, 'MMM'), ' ', lpad(cast(day(ts) AS string), 2, ' ')) AS mon",
         "date_format(ts, 'HH:mm:ss') AS hms",
         "date_format(ts, 'EEE') AS dow",
+        "date_format(ts, 'dd') AS day2",
+        "date_format(ts - interval 7 hours, 'EEE') AS dow7",
+        "date_format(ts - interval 7 hours, 'dd') AS day7",
+        "date_format(ts - interval 7 hours, 'MMM') AS mon7",
+        "date_format(ts - interval 7 hours, 'HH:mm:ss') AS hms7",
+        "date_format(ts - interval 7 hours, 'yyyy') AS year7",
     )
 
 
