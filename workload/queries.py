@@ -42,6 +42,7 @@ INGEST_TIME = "2024-06-01 12:00:00"
 
 GAP = dt.timedelta(hours=6)
 CAP = 3
+SPOOL_CAP = 500
 
 
 def _naive(df: DataFrame, *columns: str) -> DataFrame:
@@ -102,11 +103,11 @@ def zone_offsets(spark, sf_dir):
         parts,
         {
             zone: f"concat('<13>',mon,' ',hms,' {zone} 2024 host app: ',props)"
-            for zone in ("UTC", "CST", "CEST")
+            for zone in ("UTC", "CST", "EET")
         },
         "event_id",
     )
-    parsed = parse_syslog(lines, zone_offsets={"CST": -360, "CEST": 120})
+    parsed = parse_syslog(lines, zone_offsets={"CST": -360, "EET": 120})
     return _naive(parsed).select("event_id", "shape", "date", "error_code")
 
 
@@ -349,8 +350,8 @@ def unique_stamps_global(spark, sf_dir):
 
 def _spool(spark, sf_dir) -> str:
     path = shared_folder(spark)
-    lines = mixed_lines(spark, sf_dir).join(_arrivals(spark, sf_dir), "event_id")
-    write_spool(lines, path, "user_id", "ts", "line", "event_id", GAP, 20)
+    lines = mixed_lines(spark, sf_dir, "ts", "event_type")
+    write_spool(lines, path, "event_type", "ts", "line", "event_id", GAP, SPOOL_CAP)
     return path
 
 

@@ -50,9 +50,9 @@ CASE event_id % 6
 """
 
 
-def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     parts = with_parts(table(spark, sf_dir, "events"))
-    return parts.select("event_id", F.expr(MIXED).alias("line"))
+    return parts.select("event_id", *keep, F.expr(MIXED).alias("line"))
 
 
 def in_shapes(parts: DataFrame, shapes: dict[str, str], *keep: str) -> DataFrame:
