@@ -34,18 +34,18 @@ _TOKEN = rf"[^\\]++|{_HEX_RUN}|\\[abtnvfr\\]"
 _RUN = r"[ -\[\]-~]++|[^ -\[\]-~]++"
 
 
-def _bytes_as_chars(col: Column) -> Column:
+def bytes_as_chars(col: Column) -> Column:
     """One character per byte, so regexes can address bytes that are no UTF-8."""
     return F.decode(col.cast("binary"), "ISO-8859-1")
 
 
-def _chars_as_bytes(col: Column) -> Column:
+def chars_as_bytes(col: Column) -> Column:
     return F.encode(col, "ISO-8859-1")
 
 
 def _spell(run: Column) -> Column:
     """Escapes for a run of bytes none of which may stand as itself."""
-    spelled = F.regexp_replace(F.hex(_chars_as_bytes(run)), "(..)", r"\\x$1")
+    spelled = F.regexp_replace(F.hex(chars_as_bytes(run)), "(..)", r"\\x$1")
     for byte, escape in NAMED_ESCAPES:
         spelled = F.replace(spelled, F.lit(f"\\x{ord(byte):02X}"), F.lit(escape))
     return F.when(run == "\n", F.lit(r"\n")).otherwise(spelled)
@@ -54,7 +54,7 @@ def _spell(run: Column) -> Column:
 def escape(col: Column) -> Column:
     """Printable form of a string or binary column."""
     text = col.cast("string")
-    runs = F.regexp_extract_all(_bytes_as_chars(col), F.lit(_RUN), F.lit(0))
+    runs = F.regexp_extract_all(bytes_as_chars(col), F.lit(_RUN), F.lit(0))
     spelled = F.array_join(
         F.transform(runs, lambda r: F.when(r.rlike("^" + PLAIN), r).otherwise(_spell(r))), ""
     )
@@ -62,7 +62,7 @@ def escape(col: Column) -> Column:
 
 
 def _tokens(col: Column) -> Column:
-    return F.regexp_extract_all(_bytes_as_chars(col), F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(bytes_as_chars(col), F.lit(_TOKEN), F.lit(0))
 
 
 def _meaning(token: Column) -> Column:
@@ -71,7 +71,7 @@ def _meaning(token: Column) -> Column:
     )
     for byte, escape_ in NAMED_ESCAPES:
         value = value.when(token == escape_, F.lit(byte))
-    return value.otherwise(_chars_as_bytes(token).cast("string"))
+    return value.otherwise(chars_as_bytes(token).cast("string"))
 
 
 def escape_valid(col: Column) -> Column:

@@ -26,27 +26,35 @@ _LEAP = r"(?:\d\d(?:0[48]|[2468][048]|[13579][26])|(?:[02468][048]|[13579][26])0
 # Zone names: UTC, GMT with or without hours, signed hours up to 23, three
 # capitals, four or five capitals ending in T, and three exceptions.
 _HOURS = r"[+-]0*(?:1?\d|2[0-3])"
-_ZONE = rf"(?:GMT(?:{_HOURS})?|{_HOURS}|ChST|MeST|WITA|[A-Z]{{3}}|[A-Z]{{3,4}}T)"
+_ZONE = (
+    rf"(?:GMT(?:{_HOURS})?|{_HOURS}|ChST|MeST|WITA"
+    r"|[A-Z]{3}|(?!UTC|GMT)[A-Z]{3,4}T)"
+)
 
-# The accepted layouts as (total length, shape), tried in order.
-# ISO dates take 0, 3, 6 or 9 fraction digits, one more after a one-digit hour.
+# The accepted layouts. ISO dates take 0, 3, 6 or 9 fraction
+# digits, one more after a one-digit hour. The others have a total length.
 _ISO = (
     r"^\d{4}-\d\d-\d\dT"
     r"(?:\d\d:\d\d:\d\d(?:[.,](?:\d{9}|\d{6}|\d{3}))?"
     r"|\d:\d\d:\d\d[.,](?:\d{10}|\d{7}|\d{4}))"
     r"(?:Z|[+-]\d\d:?\d\d)(?= )"
 )
-_SPELLED = [
-    (31, rf"{_WEEKDAY}, +\d\d +{_MONTH} +\d{{4}} +{_CLOCK} +[+-]\d{{4}}"),
-    (29, rf"{_WEEKDAY}, +\d\d +{_MONTH} +\d{{4}} +{_CLOCK} +{_ZONE}"),
-    # 29 February of a common year is no date here; the last layout may take it.
-    (24, rf"(?!(?i:feb) +29 +\S+ +\S+ +(?!{_LEAP} )\d{{4}} )"
-         rf"{_MONTH} +\d{{1,2}} +{_CLOCK} +{_ZONE} +\d{{4}}"),
-    (24, rf"{_WEEKDAY} +{_MONTH} +\d{{1,2}} +{_CLOCK} +\d{{4}}"),
-    (15, rf"{_MONTH} +\d{{1,2}} +{_CLOCK}"),
-]
-_SPELLED_RE = "|".join(
-    rf"^(?=.{{{length}}} ){shape}(?<=^.{{{length}}})" for length, shape in _SPELLED
+
+
+def _long(chars: int) -> str:
+    return rf"(?<=^.{{{chars}}})"
+
+
+_FULL_DAY = rf", +\d\d +{_MONTH} +\d{{4}} +{_CLOCK} +"
+_SHORT_DAY = rf"{_MONTH} +\d{{1,2}} +{_CLOCK}"
+# 29 February of a common year is no date in the longer of the two layouts that
+# start alike; the shorter may take it.
+_NO_DATE = rf"(?i:feb) +29 +\S+ +\S+ +(?!{_LEAP} )\d{{4}} "
+_SPELLED = (
+    rf"^(?:(?!{_NO_DATE}){_SHORT_DAY} +{_ZONE} +\d{{4}}{_long(24)}"
+    rf"|{_SHORT_DAY}{_long(15)}"
+    rf"|{_WEEKDAY}(?:{_FULL_DAY}(?:[+-]\d{{4}}{_long(31)}|{_ZONE}{_long(29)})"
+    rf"| +{_SHORT_DAY} +\d{{4}}{_long(24)}))(?= )"
 )
 
 
@@ -57,7 +65,7 @@ def iso_stamp(head: Column) -> Column:
 
 def spelled_stamp(head: Column) -> Column:
     """The spelled-out stamp at the start of ``head``, or ''."""
-    return F.regexp_extract(head, _SPELLED_RE, 0)
+    return F.regexp_extract(head, _SPELLED, 0)
 
 
 def is_iso(stamp: Column) -> Column:
@@ -134,16 +142,25 @@ def complete_year(year: Column, month_day_: Column, ref_year: Column) -> Column:
     )
 
 
-def wall_clock(date: Column, clock: Column, zone: Column, words: Column) -> Column:
-    """Instant the stamp would mean in UTC; null if there is no such date or time."""
-    fraction_chars = F.length(clock) - 8 - F.when(
-        words.isNull(), F.length(zone)
-    ).otherwise(0)
-    fraction = F.replace(
-        F.substring(clock, F.lit(9), fraction_chars), F.lit(","), F.lit(".")
+def _number(text: Column, start: int, length: int) -> Column:
+    return F.substring(text, start, length).try_cast("int")
+
+
+def wall_micros(date: Column, clock: Column, zone: Column, words: Column) -> Column:
+    """Microseconds since 1970 the stamp would mean in UTC; null if there is no
+    such date or time. Digits behind the microsecond are cut off."""
+    days = F.unix_date(date.try_cast("date"))
+    hours, minutes, seconds = (_number(clock, at, 2) for at in (1, 4, 7))
+    in_day = F.when(
+        (hours < 24) & (minutes < 60) & (seconds < 60),
+        hours * 3600 + minutes * 60 + seconds,
     )
-    text = F.concat(date, F.lit("T"), F.substring(clock, 1, 8), fraction, F.lit("Z"))
-    return text.try_cast("timestamp")
+    # Hour to second and the mark take nine characters; the zone of an ISO
+    # stamp follows the fraction.
+    digits = F.length(clock) - 9 - F.when(words.isNull(), F.length(zone)).otherwise(0)
+    fraction = F.rpad(F.substring(clock, F.lit(10), F.least(digits, F.lit(6))), 6, "0")
+    micros = F.when(digits > 0, fraction.try_cast("int")).otherwise(0)
+    return (days.cast("bigint") * 86_400 + in_day) * 1_000_000 + micros
 
 
 def offset_minutes(zone: Column, zone_offsets: dict[str, int] | None = None) -> Column:
@@ -160,8 +177,6 @@ def offset_minutes(zone: Column, zone_offsets: dict[str, int] | None = None) ->
     return result.otherwise(F.lit(0))
 
 
-def shifted(instant: Column, minutes_east: Column) -> Column:
-    """The instant, given a wall clock read as UTC and its offset."""
-    return F.timestamp_micros(
-        F.unix_micros(instant) - minutes_east.cast("bigint") * F.lit(60_000_000)
-    )
+def instant(wall: Column, minutes_east: Column) -> Column:
+    """The instant of a wall clock, given its offset."""
+    return F.timestamp_micros(wall - minutes_east.cast("bigint") * 60_000_000)

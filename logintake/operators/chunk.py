@@ -110,8 +110,8 @@ def chunk_messages(
     out = out.withColumn("_at", in_session).withColumns(
         {
             "session_start": F.timestamp_micros(start),
-            "part": F.floor(F.col("_at") / max_logs),
-            "line_no": F.col("_at") % max_logs,
+            "part": F.expr(f"_at div {max_logs}"),
+            "line_no": F.expr(f"_at % {max_logs}"),
         }
     )
     return out.drop(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logintake.functions import timestamps as ts
+from logintake.functions.codec import bytes_as_chars, chars_as_bytes
 
 # Reasons by code. Codes 5 and 6 are declared but never given;
 # 16 is our own, for numbers the integer columns cannot hold.
@@ -122,11 +123,16 @@ def parse_syslog(
     other than ``col`` are kept.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != col]
-    line = F.col(_P + "line")
     p = _Names()
+    raw, line = p.raw, p.line
+
+    # String functions step over characters, and may lose the way in bytes that
+    # are no UTF-8. Such a line is read with one character per byte.
+    out = df.select(*kept, F.col(f"`{col}`").cast("string").alias(_P + "raw"))
+    out = _step(out, bytewise=~F.is_valid_utf8(raw))
+    out = _step(out, line=F.when(p.bytewise, bytes_as_chars(raw)).otherwise(raw))
 
     # Priority, family and timestamp text.
-    out = df.select(*kept, F.col(f"`{col}`").cast("string").alias(_P + "line"))
     out = _step(out, gt=F.when(line.startswith("<"), F.position(F.lit(">"), line)))
     out = _step(
         out,
@@ -147,7 +153,7 @@ def parse_syslog(
         out,
         stamp=F.when((p.iso != "") | p.new, p.iso).otherwise(ts.spelled_stamp(p.head)),
     )
-    out = _settle(out, [*kept, line], "gt", "priority", "new", "start", "stamp")
+    out = _settle(out, [*kept, raw, p.bytewise, line], "gt", "priority", "new", "start", "stamp")
 
     # Date.
     out = _step(out, words=ts.spelled_words(p.stamp))
@@ -163,16 +169,20 @@ def parse_syslog(
         out,
         date=F.when(
             p.stamp != "",
-            ts.shifted(
-                ts.wall_clock(p.day, p.clock, p.zone, p.words),
+            ts.instant(
+                ts.wall_micros(p.day, p.clock, p.zone, p.words),
                 ts.offset_minutes(p.zone, zone_offsets),
             ),
         ),
     )
     after_stamp = F.substr(line, p.start + F.length(p.stamp) + 1)
-    out = _step(out, rest=F.when(p.date.isNotNull(), after_stamp))
+    out = _step(
+        out,
+        rest=F.when(p.date.isNotNull(), after_stamp),
+        nil_date=p.new & (_char(line, p.start) == "-"),
+    )
     out = _settle(
-        out, [*kept, line], "gt", "priority", "new", "start", "date", "rest"
+        out, [*kept, raw, p.bytewise], "gt", "priority", "new", "nil_date", "date", "rest"
     )
 
     # Delimiters behind the timestamp. A null position ends the chain.
@@ -238,7 +248,7 @@ def parse_syslog(
         .when(p.gt == 0, 4)
         .when(p.gt == 2, 2)
         .when(p.priority.isNull(), 3)
-        .when(p.new & (_char(line, p.start) == "-"), 7)
+        .when(p.nil_date, 7)
         .when(p.date.isNull(), 8)
         .when(p.host_end.isNull(), 9)
         .when(p.app_end.isNull() & (p.new | (p.tag == "")), 10)
@@ -253,23 +263,27 @@ def parse_syslog(
     out = _step(out, code=code)
     out = _settle(
         out,
-        [*kept, line, p.priority, p.date, rest],
+        [*kept, raw, p.bytewise, p.priority, p.date, rest],
         "host_end", "process_end", "body", "facility", "pid", "code",
     )
 
     def good(value: Column) -> Column:
         return F.when(p.code.isNull(), value)
 
+    def text(value: Column) -> Column:
+        stored = F.when(p.bytewise, chars_as_bytes(value).cast("string")).otherwise(value)
+        return good(stored)
+
     return out.select(
         *kept,
         good(p.date).alias("date"),
         good(p.facility).alias("facility"),
         good(p.priority.bitwiseAND(F.lit(7)).cast("int")).alias("severity"),
-        good(_between(rest, F.lit(1), p.host_end)).alias("hostname"),
-        good(_between(rest, p.host_end + 1, p.process_end)).alias("process"),
+        text(_between(rest, F.lit(1), p.host_end)).alias("hostname"),
+        text(_between(rest, p.host_end + 1, p.process_end)).alias("process"),
         good(p.pid).alias("pid"),
-        good(F.substr(rest, p.body)).alias("data"),
+        text(F.substr(rest, p.body)).alias("data"),
         p.code.alias("error_code"),
         error_reason(p.code).alias("error_reason"),
-        line.alias("raw"),
+        raw.alias("raw"),
     )
