@@ -34,6 +34,10 @@ _TOKEN = rf"[^\\]++|{_HEX_RUN}|\\[abtnvfr\\]"
 _RUN = r"[ -\[\]-~]++|[^ -\[\]-~]++"
 
 
+def _column(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
 def bytes_as_chars(col: Column) -> Column:
     """One character per byte, so regexes can address bytes that are no UTF-8."""
     return F.decode(col.cast("binary"), "ISO-8859-1")
@@ -51,8 +55,9 @@ def _spell(run: Column) -> Column:
     return F.when(run == "\n", F.lit(r"\n")).otherwise(spelled)
 
 
-def escape(col: Column) -> Column:
+def escape(col: Column | str) -> Column:
     """Printable form of a string or binary column."""
+    col = _column(col)
     text = col.cast("string")
     runs = F.regexp_extract_all(bytes_as_chars(col), F.lit(_RUN), F.lit(0))
     spelled = F.array_join(
@@ -74,18 +79,20 @@ def _meaning(token: Column) -> Column:
     return value.otherwise(chars_as_bytes(token).cast("string"))
 
 
-def escape_valid(col: Column) -> Column:
+def escape_valid(col: Column | str) -> Column:
     """False where a backslash does not start a valid escape."""
+    col = _column(col)
     return ~F.contains(col, F.lit("\\")) | ~F.contains(
         F.regexp_replace(col, ESCAPE, ""), F.lit("\\")
     )
 
 
-def unescape(col: Column) -> Column:
+def unescape(col: Column | str) -> Column:
     """Original message of an escaped line; the line itself if it is malformed.
 
     The result may hold any bytes; cast it to binary to see them as stored.
     """
+    col = _column(col)
     decoded = F.array_join(F.transform(_tokens(col), _meaning), "")
     return (
         F.when(~F.contains(col, F.lit("\\")), col)

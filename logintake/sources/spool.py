@@ -73,7 +73,7 @@ def stream_spool(
 
 
 def list_spool(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
-    """Manifest of the folder, empty files included. No file is opened."""
+    """Manifest of the folder. No file is opened; Spark lists no empty files."""
     reader = spark.read.format("binaryFile")
     if partitioned:
         files = reader.option("recursiveFileLookup", "true").load(path)

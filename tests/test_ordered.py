@@ -1,0 +1,156 @@
+"""Chunks, unique stamps and batches against loops over sorted rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from logintake.operators.chunk import chunk_manifest, chunk_messages, left_open
+from logintake.operators.clock import unique_micros
+from logintake.operators.manifest import next_batch, spool_audit, spool_manifest
+
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def chunks_by_hand(rows, idle, cap):
+    """event_id to (session start, chunk, place in chunk)."""
+    out, senders = {}, {}
+    for row in sorted(rows, key=lambda r: (r.ts, r.event_id)):
+        last = senders.get(row.user_id)
+        fresh = last is None or row.ts - last[0] > idle
+        start, n = (row.ts, 0) if fresh else last[1:]
+        out[row.event_id] = (start, n // cap, n % cap)
+        senders[row.user_id] = (row.ts, start, n + 1)
+    return out
+
+
+def chunked(df, *args, **options):
+    out = chunk_messages(df, "user_id", "ts", "event_id", *args, **options)
+    return {r.event_id: (r.session_start, r.part, r.line_no) for r in out.collect()}
+
+
+@pytest.fixture
+def arrivals(events):
+    """One sender has a third of all events; some senders are null."""
+    hot = F.when(F.col("event_id") % 3 == 0, 7).when(F.col("user_id") == 3, None)
+    return events.select(
+        "event_id", "ts", hot.otherwise(F.col("user_id")).cast("bigint").alias("user_id")
+    )
+
+
+@pytest.mark.parametrize("hot_rows", [None, 300, 50, 3])
+@pytest.mark.parametrize(
+    "idle,cap",
+    [(dt.timedelta(hours=6), 3), (dt.timedelta(minutes=40), 1), (dt.timedelta(days=60), 17)],
+)
+def test_chunks(arrivals, idle, cap, hot_rows):
+    want = chunks_by_hand(arrivals.collect(), idle, cap)
+    assert chunked(arrivals, idle, cap, hot_rows=hot_rows) == want
+
+
+def test_equal_times_and_limit(spark):
+    at = dt.datetime(2024, 1, 1)
+    rows = [(n, at + dt.timedelta(seconds=n // 4), 1) for n in range(40)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint")
+    for idle in (dt.timedelta(0), dt.timedelta(seconds=1)):
+        want = chunks_by_hand(df.collect(), idle, 3)
+        assert chunked(df, idle, 3) == chunked(df, idle, 3, hot_rows=5) == want
+    with pytest.raises(ValueError):
+        chunk_messages(df, "user_id", "ts", max_logs=0)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 40])
+def test_chunks_go_on_from_open_ones(arrivals, hot_rows):
+    idle, cap = dt.timedelta(hours=9), 4
+    want = chunks_by_hand(arrivals.collect(), idle, cap)
+    got, before = {}, None
+    for days in (range(1, 9), range(9, 10), range(10, 32)):
+        part = arrivals.filter(F.dayofmonth("ts").isin(*days))
+        out = chunk_messages(
+            part, "user_id", "ts", "event_id", idle, cap, hot_rows, before
+        )
+        got.update({r.event_id: (r.session_start, r.part, r.line_no) for r in out.collect()})
+        now = left_open(out, "user_id", "ts", cap, "event_id")
+        if before is not None:
+            keep = before.join(now.select(F.col("user_id").alias("u")),
+                               F.col("user_id").eqNullSafe(F.col("u")), "left_anti")
+            now = now.unionByName(keep)
+        before = now
+    assert got == want
+
+
+def stamps_by_hand(rows, key):
+    last, out = {}, {}
+    for row in sorted(rows, key=lambda r: (r.ts, r.event_id)):
+        now = (row.ts - EPOCH) // dt.timedelta(microseconds=1)
+        last[key(row)] = out[row.event_id] = max(now, last.get(key(row), now - 1) + 1)
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [None, 50, 7])
+@pytest.mark.parametrize("key", [None, "user_id"])
+def test_unique_micros(arrivals, key, hot_rows):
+    # A few microseconds of time for many events, so that stamps push each other.
+    df = arrivals.withColumn(
+        "ts", F.timestamp_micros(F.col("event_id") % 97).cast("timestamp_ntz")
+    )
+    want = stamps_by_hand(df.collect(), (lambda r: r.user_id) if key else (lambda r: 0))
+    got = unique_micros(df, "ts", key, "event_id", hot_rows=hot_rows).collect()
+    assert {r.event_id: r.unique_us for r in got} == want
+    if key is None:
+        assert len(set(want.values())) == len(want)
+
+
+def test_chunk_names_never_collide(spark):
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [(n, at, n % 5) for n in range(20)], "event_id bigint, ts timestamp, user_id bigint"
+    )
+    out = chunk_messages(df, "user_id", "ts", "event_id", max_logs=2)
+    names = [r.file_name for r in chunk_manifest(out, "user_id", "ts").collect()]
+    assert len(set(names)) == 10
+    assert sorted(names)[0] == "%016x.%08x.log" % (1704067200000000, 2)
+
+
+NAMES = {
+    "0000000000000000.00000004.log": (0, 4),
+    "00000000000003e8.00000003.log": (1000, 3),
+    "7D0.5.log": (2000, 5),
+    "0000000000000bb8.00000001.log": (3000, 1),
+    "00000000000000000fa0.00000000009.log": (4000, 9),
+    "ffffffffffffffff.ffffffff.log": (-1, 2**32 - 1),
+    ".x.1.log": None, "zz.00000001.log": None, "0001.0002.txt": None, "1.2.3.log": None,
+    "1.log": None, ".1.log": None, "1..log": None, "+1.1.log": None, "1.1.log\n": None,
+    "10000000000000000.1.log": None, "1.100000000.log": None, "0x1.1.log": None,
+}
+
+
+def test_manifest(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "file_name string")
+    got = {
+        r.file_name: (r.us, r.logs)
+        for r in spool_manifest(df).withColumn("us", F.unix_micros("start_ts")).collect()
+    }
+    assert got == {n: v for n, v in NAMES.items() if v}
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2])
+@pytest.mark.parametrize("min_logs", [0, 1, 4, 7, 8, 12, 13, 1000])
+def test_next_batch(spark, min_logs, hot_rows):
+    names = [f"{n:016x}.{n * 7 % 5:08x}.log" for n in range(40)]
+    df = spool_manifest(spark.createDataFrame([(n,) for n in names], "file_name string"))
+    want, total = [], 0
+    for name in sorted(names):
+        if total >= min_logs:
+            break
+        total += int(name.split(".")[1], 16)
+        want.append((name, total))
+    got = next_batch(df, min_logs, hot_rows=hot_rows).select("file_name", "logs_upto")
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_audit(spark):
+    files = spark.createDataFrame([("a", 2), ("b", 1), ("c", 0)], "file_name string, logs bigint")
+    lines = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y")], "file_name string, value string")
+    got = sorted(map(tuple, spool_audit(lines, files).collect()))
+    assert got == [("a", 2, 1, -1), ("b", 1, 2, 1), ("c", 0, 0, 0)]
