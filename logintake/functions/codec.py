@@ -7,6 +7,8 @@ malformed is handed back unchanged.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,17 +68,13 @@ def escape(col: Column | str) -> Column:
     return F.when(text.rlike(rf"^{PLAIN}*+\z"), text).otherwise(spelled)
 
 
-def _tokens(col: Column) -> Column:
-    return F.regexp_extract_all(bytes_as_chars(col), F.lit(_TOKEN), F.lit(0))
-
-
-def _meaning(token: Column) -> Column:
-    value = F.when(
+def _meaning(token: Column, literal: Column) -> Column:
+    value = F.when(~token.startswith("\\"), literal).when(
         token.startswith(r"\x"), F.unhex(F.replace(token, F.lit(r"\x"))).cast("string")
     )
     for byte, escape_ in NAMED_ESCAPES:
         value = value.when(token == escape_, F.lit(byte))
-    return value.otherwise(chars_as_bytes(token).cast("string"))
+    return value
 
 
 def escape_valid(col: Column | str) -> Column:
@@ -93,9 +91,14 @@ def unescape(col: Column | str) -> Column:
     The result may hold any bytes; cast it to binary to see them as stored.
     """
     col = _column(col)
-    decoded = F.array_join(F.transform(_tokens(col), _meaning), "")
+
+    def decoded(text: Column, literal: Callable[[Column], Column]) -> Column:
+        tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+        return F.array_join(F.transform(tokens, lambda t: _meaning(t, literal(t))), "")
+
     return (
-        F.when(~F.contains(col, F.lit("\\")), col)
-        .when(escape_valid(col), decoded)
-        .otherwise(col)
+        F.when(~F.contains(col, F.lit("\\")) | ~escape_valid(col), col)
+        .when(F.is_valid_utf8(col), decoded(col, lambda t: t))
+        # Any other line is read with one character per byte.
+        .otherwise(decoded(bytes_as_chars(col), lambda t: chars_as_bytes(t).cast("string")))
     )
