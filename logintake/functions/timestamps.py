@@ -1,16 +1,14 @@
-"""Timestamps in front of a log message.
+"""Timestamps in front of a log message, as SQL expressions.
 
 A stamp counts only if a space follows it and its total length is one of the
 accepted layouts, so the patterns below fix shape and length together. Reading
-happens in two parts: ``iso_stamp`` and ``spelled_stamp`` cut the stamp out of
-the head of a line, the others turn the cut text into a date.
+happens in two parts: ``STAMP`` cuts the stamp out of the head of a line,
+``date_steps`` turns the cut text into a date. Both are steps: each maps names
+of new columns to SQL over the columns before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The longest accepted stamp and the space after it.
 HEAD_CHARS = 36
 
@@ -57,126 +55,100 @@ _SPELLED = (
     rf"| +{_SHORT_DAY} +\d{{4}}{_long(24)}))(?= )"
 )
 
+# The stamp at the start of ``__head``, or ''; ``__iso_only`` rules out the others.
+STAMP = (
+    {"__iso": f"regexp_extract(__head, r'{_ISO}', 0)"},
+    {
+        "__stamp": f"""CASE WHEN __iso <> '' OR __iso_only THEN __iso
+                       ELSE regexp_extract(__head, r'{_SPELLED}', 0) END"""
+    },
+)
 
-def iso_stamp(head: Column) -> Column:
-    """The ISO stamp at the start of ``head``, or '' if there is none."""
-    return F.regexp_extract(head, _ISO, 0)
-
-
-def spelled_stamp(head: Column) -> Column:
-    """The spelled-out stamp at the start of ``head``, or ''."""
-    return F.regexp_extract(head, _SPELLED, 0)
-
-
-def is_iso(stamp: Column) -> Column:
-    return F.substring(stamp, 5, 1) == "-"
-
-
-def spelled_words(stamp: Column) -> Column:
-    """Words of a spelled-out stamp; null for an ISO stamp."""
-    return F.when(~is_iso(stamp), F.split(stamp, " +"))
-
-
-def _by_layout(words: Column, iso: Column, **by_name: Column) -> Column:
-    """Choose by layout; the two five-word layouts differ in their second word."""
-    n = F.size(words)
-    weekday_first = ~F.substring(F.get(words, F.lit(1)), 1, 1).between("0", "9")
-    return (
-        F.when(words.isNull(), iso)
-        .when(n == 3, by_name["short"])
-        .when(n == 6, by_name["full"])
-        .when(weekday_first, by_name["weekday"])
-        .otherwise(by_name["year"])
-    )
-
-
-def _words(words: Column, *positions: int | None) -> dict[str, Column]:
-    names = ("short", "year", "weekday", "full")
-    return {
-        name: F.lit(None).cast("string") if p is None else F.get(words, F.lit(p))
-        for name, p in zip(names, positions)
-    }
-
-
-def year_text(stamp: Column, words: Column) -> Column:
-    """Four digits; '0000' where the stamp names no year."""
-    year = _by_layout(words, F.substring(stamp, 1, 4), **_words(words, None, 4, 4, 3))
-    return F.coalesce(year, F.lit("0000"))
-
-
-def month_day(stamp: Column, words: Column) -> Column:
-    """Month and day as MM-dd."""
-    month = _by_layout(words, F.lit(""), **_words(words, 0, 0, 1, 2))
-    day = _by_layout(words, F.lit(""), **_words(words, 1, 1, 2, 1))
-    number = ((F.instr(F.lit(MONTHS), F.lower(month)) + 3) / 4).cast("int")
-    spelled = F.concat_ws("-", F.lpad(number.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(words.isNull(), F.substring(stamp, 6, 5)).otherwise(spelled)
 
+def _by_layout(iso: str, full: str, short: str, weekday: str, year: str) -> str:
+    return f"""CASE __layout WHEN 'iso' THEN {iso} WHEN 'short' THEN {short}
+               WHEN 'full' THEN {full} WHEN 'weekday' THEN {weekday} ELSE {year} END"""
 
-def clock_text(stamp: Column, words: Column) -> Column:
-    """Clock time and whatever follows it up to the next space, hour in two digits."""
-    clock = _by_layout(
-        words, F.substring(stamp, 12, HEAD_CHARS), **_words(words, 2, 2, 3, 4)
-    )
-    return F.when(F.substring(clock, 2, 1) == ":", F.concat(F.lit("0"), clock)).otherwise(clock)
 
+def _word(at: int) -> str:
+    return f"get(__words, {at})"
 
-def zone_text(stamp: Column, words: Column) -> Column:
-    """Zone as written: Z, an offset, a name, or null."""
-    iso = (
-        F.when(stamp.endswith("Z"), F.lit("Z"))
-        .when(F.substring(stamp, -3, 1) == ":", F.substring(stamp, -6, 6))
-        .otherwise(F.substring(stamp, -5, 5))
-    )
-    return _by_layout(words, iso, **_words(words, None, 3, None, 5))
 
+def date_steps(zone_offsets: dict[str, int] | None = None) -> tuple[dict[str, str], ...]:
+    """Steps from ``__stamp`` to ``__date``, null if there is no such date.
 
-def complete_year(year: Column, month_day_: Column, ref_year: Column) -> Column:
-    """Date text. Year 0 becomes ``ref_year``, where 29 February of a common
-    year turns into 1 March; no other day is moved."""
-    common = (ref_year % 4 != 0) | ((ref_year % 100 == 0) & (ref_year % 400 != 0))
-    moved = F.when((month_day_ == "02-29") & common, F.lit("03-01")).otherwise(month_day_)
-    completed = F.concat(F.lpad(ref_year.cast("string"), 4, "0"), F.lit("-"), moved)
-    return F.when(year == "0000", completed).otherwise(
-        F.concat(year, F.lit("-"), month_day_)
+    A stamp without a year, or of year 0, gets ``__ref_year``. Its day has to
+    exist in a leap year; 29 February of a common year turns into 1 March. Zone
+    names count as UTC unless ``zone_offsets`` gives their minutes east of it.
+    Digits behind the microsecond are cut off.
+    """
+    zone_offsets = zone_offsets or {}
+    if not all(name.isalnum() for name in zone_offsets):
+        raise ValueError("zone names consist of letters and digits")
+    named = " ".join(
+        f"WHEN __zone = '{name}' THEN {int(east)}" for name, east in zone_offsets.items()
     )
-
-
-def _number(text: Column, start: int, length: int) -> Column:
-    return F.substring(text, start, length).try_cast("int")
-
-
-def wall_micros(date: Column, clock: Column, zone: Column, words: Column) -> Column:
-    """Microseconds since 1970 the stamp would mean in UTC; null if there is no
-    such date or time. Digits behind the microsecond are cut off."""
-    days = F.unix_date(date.try_cast("date"))
-    hours, minutes, seconds = (_number(clock, at, 2) for at in (1, 4, 7))
-    in_day = F.when(
-        (hours < 24) & (minutes < 60) & (seconds < 60),
-        hours * 3600 + minutes * 60 + seconds,
+    return (
+        {"__words": "CASE WHEN substring(__stamp, 5, 1) <> '-' THEN split(__stamp, ' +') END"},
+        {
+            # The two layouts of five words differ in what the second word is.
+            "__layout": f"""CASE WHEN __words IS NULL THEN 'iso'
+                WHEN size(__words) = 3 THEN 'short' WHEN size(__words) = 6 THEN 'full'
+                WHEN substring({_word(1)}, 1, 1) BETWEEN '0' AND '9' THEN 'year'
+                ELSE 'weekday' END"""
+        },
+        {
+            "__year": _by_layout(
+                "substring(__stamp, 1, 4)", _word(3), "'0000'", _word(4), _word(4)
+            ),
+            "__month": _by_layout("''", _word(2), _word(0), _word(1), _word(0)),
+            "__mday": _by_layout("''", _word(1), _word(1), _word(2), _word(1)),
+            "__time": _by_layout(
+                f"substring(__stamp, 12, {HEAD_CHARS})", _word(4), _word(2), _word(3), _word(2)
+            ),
+            "__zone": _by_layout(
+                """CASE WHEN endswith(__stamp, 'Z') THEN 'Z'
+                   WHEN substring(__stamp, -3, 1) = ':' THEN substring(__stamp, -6, 6)
+                   ELSE substring(__stamp, -5, 5) END""",
+                _word(5), "NULL", "NULL", _word(3),
+            ),
+        },
+        {
+            "__month_day": f"""CASE __layout WHEN 'iso' THEN substring(__stamp, 6, 5)
+                ELSE concat(lpad(cast((instr('{MONTHS}', lower(__month)) + 3) div 4 AS string), 2, '0'),
+                            '-', lpad(__mday, 2, '0')) END""",
+            "__clock": """CASE WHEN substring(__time, 2, 1) = ':' THEN concat('0', __time)
+                ELSE __time END""",
+            "__offset": f"""CASE
+                WHEN length(__zone) IN (5, 6) AND substring(__zone, 1, 1) IN ('+', '-') THEN
+                  CASE WHEN substring(__zone, 2, 2) <= '24' AND substring(__zone, -2, 2) <= '60'
+                    THEN (cast(substring(__zone, 2, 2) AS int) * 60
+                          + cast(substring(__zone, -2, 2) AS int))
+                         * CASE WHEN startswith(__zone, '-') THEN -1 ELSE 1 END END
+                {named} ELSE 0 END""",
+        },
+        {
+            "__day": """CASE WHEN __year <> '0000' THEN concat(__year, '-', __month_day)
+                WHEN __month_day = '02-29'
+                  AND (__ref_year % 4 <> 0 OR __ref_year % 100 = 0 AND __ref_year % 400 <> 0)
+                  THEN concat(lpad(cast(__ref_year AS string), 4, '0'), '-03-01')
+                ELSE concat(lpad(cast(__ref_year AS string), 4, '0'), '-', __month_day) END""",
+            # Hour to second and the mark take nine characters; the zone of an
+            # ISO stamp follows the fraction.
+            "__digits": """length(__clock) - 9
+                - CASE __layout WHEN 'iso' THEN length(__zone) ELSE 0 END""",
+            "__seconds": """CASE WHEN substring(__clock, 1, 2) < '24'
+                  AND substring(__clock, 4, 2) < '60' AND substring(__clock, 7, 2) < '60'
+                THEN try_cast(substring(__clock, 1, 2) AS int) * 3600
+                   + try_cast(substring(__clock, 4, 2) AS int) * 60
+                   + try_cast(substring(__clock, 7, 2) AS int) END""",
+        },
+        {
+            "__date": """CASE WHEN __stamp <> '' THEN timestamp_micros(
+                (cast(unix_date(try_cast(__day AS date)) AS bigint) * 86400
+                 + __seconds - __offset * 60) * 1000000
+                + CASE WHEN __digits > 0 THEN try_cast(
+                    rpad(substring(__clock, 10, least(__digits, 6)), 6, '0') AS int)
+                  ELSE 0 END) END"""
+        },
     )
-    # Hour to second and the mark take nine characters; the zone of an ISO
-    # stamp follows the fraction.
-    digits = F.length(clock) - 9 - F.when(words.isNull(), F.length(zone)).otherwise(0)
-    fraction = F.rpad(F.substring(clock, F.lit(10), F.least(digits, F.lit(6))), 6, "0")
-    micros = F.when(digits > 0, fraction.try_cast("int")).otherwise(0)
-    return (days.cast("bigint") * 86_400 + in_day) * 1_000_000 + micros
-
-
-def offset_minutes(zone: Column, zone_offsets: dict[str, int] | None = None) -> Column:
-    """Minutes east of UTC; null if out of range. Zone names count as UTC unless
-    ``zone_offsets`` gives their minutes."""
-    numeric = F.length(zone).isin(5, 6) & F.substring(zone, 1, 1).isin("+", "-")
-    hours = F.substring(zone, 2, 2).cast("int")
-    minutes = F.substring(zone, -2, 2).cast("int")
-    total = F.when((hours <= 24) & (minutes <= 60), hours * 60 + minutes)
-    signed = F.when(zone.startswith("-"), -total).otherwise(total)
-    result = F.when(numeric, signed)
-    for name, east in (zone_offsets or {}).items():
-        result = result.when(zone == name, F.lit(int(east)))
-    return result.otherwise(F.lit(0))
-
-
-def instant(wall: Column, minutes_east: Column) -> Column:
-    """The instant of a wall clock, given its offset."""
-    return F.timestamp_micros(wall - minutes_east.cast("bigint") * 60_000_000)

@@ -12,8 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logintake.functions import timestamps as ts
-from logintake.functions.codec import bytes_as_chars, chars_as_bytes
+from logintake.functions.timestamps import HEAD_CHARS, STAMP, date_steps
 
 # Reasons by code. Codes 5 and 6 are declared but never given;
 # 16 is our own, for numbers the integer columns cannot hold.
@@ -38,45 +37,170 @@ REASONS = {
 
 MESSAGE_COLUMNS = ["date", "facility", "severity", "hostname", "process", "pid", "data"]
 
-_P = "_parse_"
+Steps = tuple[dict[str, str], ...]
 
 
-def _integer(text: Column) -> Column:
-    """64-bit value of a decimal number, null for anything else.
+def _integer(text: str) -> str:
+    """64-bit value of a decimal number, null for anything else. The cast alone
+    would also take white space around the number."""
+    return f"""CASE WHEN substring({text}, 1, 1) BETWEEN '+' AND '9'
+                     AND substring({text}, -1, 1) BETWEEN '0' AND '9'
+               THEN try_cast({text} AS bigint) END"""
 
-    The cast alone would also take white space around the number.
-    """
-    tight = F.substring(text, 1, 1).between("+", "9") & _digit(F.substring(text, -1, 1))
-    return F.when(tight, text.try_cast("bigint"))
-
-
-def _digit(char: Column) -> Column:
-    return char.between("0", "9")
-
-
-def _found(at: Column) -> Column:
-    """A position, or null where the search found nothing."""
-    return F.when(at > 0, at)
 
-
-def _char(line: Column, at: Column) -> Column:
-    return F.substring(line, at, F.lit(1))
-
-
-def _between(line: Column, start: Column, end: Column) -> Column:
+def _between(line: str, start: str, end: str) -> str:
     """Text from ``start`` up to, but without, ``end``."""
-    return F.substring(line, start, end - start)
+    return f"substring({line}, {start}, {end} - ({start}))"
 
 
-class _Names:
-    """Intermediate columns by attribute."""
+# Priority, family, and the timestamp as text. ``__gt`` is null without a
+# priority and 0 if it has no end.
+HEAD: Steps = (
+    # String functions step over characters, and may lose the way in bytes that
+    # are no UTF-8. Such a line is read with one character per byte.
+    {"__bytewise": "NOT is_valid_utf8(__raw)"},
+    {
+        "__line": """CASE WHEN __bytewise THEN decode(cast(__raw AS binary), 'ISO-8859-1')
+                     ELSE __raw END"""
+    },
+    {"__gt": "CASE WHEN startswith(__line, '<') THEN position('>', __line) END"},
+    {
+        "__digits": _between("__line", "2", "__gt"),
+        "__new": """substring(__line, __gt + 1, 1) BETWEEN '0' AND '9'
+                    AND substring(__line, __gt + 2, 1) = ' '
+                    AND substring(__line, __gt + 3, 1) <> ''""",
+    },
+    {
+        "__priority": _integer("__digits"),
+        "__start": "__gt + CASE WHEN __new THEN 3 ELSE 1 END",
+        "__iso_only": "__new",
+    },
+    {
+        "__head": f"""CASE WHEN __priority IS NOT NULL
+                      THEN substring(__line, __start, {HEAD_CHARS}) END"""
+    },
+    *STAMP,
+)
+
+AFTER_DATE: Steps = (
+    {
+        "__rest": """CASE WHEN __date IS NOT NULL
+                     THEN substr(__line, __start + length(__stamp) + 1) END""",
+        "__nil_date": "__new AND substring(__line, __start, 1) = '-'",
+    },
+)
+
+
+def _found(position: str) -> str:
+    return f"CASE WHEN {position} > 0 THEN {position} END"
+
+
+# Delimiters behind the timestamp. A null position ends the chain.
+BODY: Steps = (
+    {"__space": "instr(__rest, ' ')"},
+    {"__host_end": _found("__space")},
+    {"__space": "position(' ', __rest, __host_end + 1)"},
+    {"__app_end": _found("__space")},
+    {
+        "__tag": f"""CASE WHEN __new THEN NULL
+            WHEN __app_end IS NOT NULL THEN {_between("__rest", "__host_end + 1", "__app_end")}
+            ELSE substr(__rest, __host_end + 1) END""",
+        "__space": "CASE WHEN __new THEN position(' ', __rest, __app_end + 1) END",
+    },
+    {
+        "__procid_end": _found("__space"),
+        "__bracket": "instr(__tag, '[')",
+        "__colon": "instr(__tag, ':')",
+    },
+    {
+        "__tag_end": f"""__host_end + least({_found("__bracket")}, {_found("__colon")},
+                                            __app_end - __host_end)""",
+        "__space": "position(' ', __rest, __procid_end + 1)",
+    },
+    {
+        "__msgid_end": _found("__space"),
+        "__opened": "substring(__rest, __tag_end, 1) = '['",
+        "__process_end": "CASE WHEN __new THEN __app_end ELSE __tag_end END",
+    },
+    {"__close": "CASE WHEN __opened THEN position(']', __rest, __tag_end + 1) END"},
+    {"__pid_end": _found("__close")},
+    {
+        "__after_pid": "CASE WHEN __opened THEN __pid_end + 1 ELSE __tag_end END",
+        "__pid_text": f"""CASE
+            WHEN __new THEN {_between("__rest", "__app_end + 1", "__procid_end")}
+            WHEN __opened THEN {_between("__rest", "__tag_end + 1", "__pid_end")} END""",
+    },
+    {
+        "__after_tag": """__after_pid
+            + CASE WHEN substring(__rest, __after_pid, 1) = ':' THEN 1 ELSE 0 END""",
+        "__number": _integer("__pid_text"),
+    },
+    {
+        "__body": """CASE
+            WHEN __new THEN __msgid_end
+              + CASE WHEN substring(__rest, __msgid_end + 1, 2) = '- ' THEN 3 ELSE 1 END
+            WHEN substring(__rest, __after_tag, 1) = ' ' THEN __after_tag + 1 END""",
+        "__facility": "try_cast(shiftright(__priority, 3) AS int)",
+        "__pid": """try_cast(coalesce(
+            CASE WHEN NOT __new OR __store_procid THEN __number END, 0) AS int)""",
+        "__bad_pid": """__pid_text IS NOT NULL AND __number IS NULL
+            AND NOT (__new AND startswith(__pid_text, '-'))""",
+    },
+    # The first failure in reading order decides.
+    {
+        "__code": """CASE
+            WHEN __gt IS NULL THEN 1
+            WHEN __gt = 0 THEN 4
+            WHEN __gt = 2 THEN 2
+            WHEN __priority IS NULL THEN 3
+            WHEN __nil_date THEN 7
+            WHEN __date IS NULL THEN 8
+            WHEN __host_end IS NULL THEN 9
+            WHEN __app_end IS NULL AND (__new OR __tag = '') THEN 10
+            WHEN __new AND __procid_end IS NULL THEN 11
+            WHEN __process_end IS NULL THEN 15
+            WHEN __opened AND __pid_end IS NULL THEN 14
+            WHEN __bad_pid THEN 12
+            WHEN __new AND __msgid_end IS NULL THEN 13
+            WHEN __body IS NULL THEN 15
+            WHEN __facility IS NULL OR __pid IS NULL THEN 16 END"""
+    },
+)
+
+
+def _good(value: str) -> str:
+    return f"CASE WHEN __code IS NULL THEN {value} END"
+
+
+def _text(value: str) -> str:
+    return _good(
+        f"""CASE WHEN __bytewise THEN cast(encode({value}, 'ISO-8859-1') AS string)
+            ELSE {value} END"""
+    )
 
-    def __getattr__(self, name: str) -> Column:
-        return F.col(_P + name)
 
+_REASON = " ".join(
+    'WHEN {} THEN "{}"'.format(code, reason) for code, reason in REASONS.items()
+)
+
+FIELDS = {
+    "date": _good("__date"),
+    "facility": _good("__facility"),
+    "severity": _good("cast(__priority & 7 AS int)"),
+    "hostname": _text(_between("__rest", "1", "__host_end")),
+    "process": _text(_between("__rest", "__host_end + 1", "__process_end")),
+    "pid": _good("__pid"),
+    "data": _text("substr(__rest, __body)"),
+    "error_code": "__code",
+    "error_reason": f"CASE __code {_REASON} END",
+    "raw": "__raw",
+}
 
-def _step(df: DataFrame, **columns: Column) -> DataFrame:
-    return df.withColumns({_P + name: c for name, c in columns.items()})
+
+def _take(df: DataFrame, steps: Steps) -> DataFrame:
+    for step in steps:
+        df = df.withColumns({name: F.expr(sql) for name, sql in step.items()})
+    return df
 
 
 def _settle(df: DataFrame, kept: list[Column], *names: str) -> DataFrame:
@@ -87,15 +211,7 @@ def _settle(df: DataFrame, kept: list[Column], *names: str) -> DataFrame:
     be spelled out in terms of the line, over and over at each step. It also ends
     a generated method, and methods of more than 8000 bytes are never compiled.
     """
-    row = F.struct(*[F.col(_P + n).alias(_P + n) for n in names])
-    return df.select(*kept, F.inline(F.array(row)))
-
-
-def error_reason(code: Column) -> Column:
-    reason = F.when(F.lit(False), F.lit(None).cast("string"))
-    for number, text in REASONS.items():
-        reason = reason.when(code == number, F.lit(text))
-    return reason
+    return df.select(*kept, F.expr(f"inline(array(struct({', '.join(names)})))"))
 
 
 def _reference_year(ref_time) -> Column:
@@ -122,168 +238,25 @@ def parse_syslog(
     ``zone_offsets`` maps zone names to minutes east of UTC. The input columns
     other than ``col`` are kept.
     """
-    kept = [F.col(f"`{c}`") for c in df.columns if c != col]
-    p = _Names()
-    raw, line = p.raw, p.line
-
-    # String functions step over characters, and may lose the way in bytes that
-    # are no UTF-8. Such a line is read with one character per byte.
-    out = df.select(*kept, F.col(f"`{col}`").cast("string").alias(_P + "raw"))
-    out = _step(out, bytewise=~F.is_valid_utf8(raw))
-    out = _step(out, line=F.when(p.bytewise, bytes_as_chars(raw)).otherwise(raw))
-
-    # Priority, family and timestamp text.
-    out = _step(out, gt=F.when(line.startswith("<"), F.position(F.lit(">"), line)))
-    out = _step(
-        out,
-        priority=_integer(_between(line, F.lit(2), p.gt)),
-        new=_digit(_char(line, p.gt + 1))
-        & (_char(line, p.gt + 2) == " ")
-        & (_char(line, p.gt + 3) != ""),
-    )
-    out = _step(out, start=p.gt + F.when(p.new, 3).otherwise(1))
-    out = _step(
-        out,
-        head=F.when(
-            p.priority.isNotNull(), F.substring(line, p.start, F.lit(ts.HEAD_CHARS))
-        ),
-    )
-    out = _step(out, iso=ts.iso_stamp(p.head))
-    out = _step(
-        out,
-        stamp=F.when((p.iso != "") | p.new, p.iso).otherwise(ts.spelled_stamp(p.head)),
-    )
-    out = _settle(out, [*kept, raw, p.bytewise, line], "gt", "priority", "new", "start", "stamp")
-
-    # Date.
-    out = _step(out, words=ts.spelled_words(p.stamp))
-    out = _step(
-        out,
-        year=ts.year_text(p.stamp, p.words),
-        month_day=ts.month_day(p.stamp, p.words),
-        clock=ts.clock_text(p.stamp, p.words),
-        zone=ts.zone_text(p.stamp, p.words),
-    )
-    out = _step(out, day=ts.complete_year(p.year, p.month_day, _reference_year(ref_time)))
-    out = _step(
-        out,
-        date=F.when(
-            p.stamp != "",
-            ts.instant(
-                ts.wall_micros(p.day, p.clock, p.zone, p.words),
-                ts.offset_minutes(p.zone, zone_offsets),
-            ),
-        ),
-    )
-    after_stamp = F.substr(line, p.start + F.length(p.stamp) + 1)
-    out = _step(
-        out,
-        rest=F.when(p.date.isNotNull(), after_stamp),
-        nil_date=p.new & (_char(line, p.start) == "-"),
+    columns = [F.col(f"`{c}`") for c in df.columns if c != col]
+    out = df.select(
+        *columns,
+        F.col(f"`{col}`").cast("string").alias("__raw"),
+        _reference_year(ref_time).alias("__ref_year"),
     )
+    kept = [*columns, F.col("__raw"), F.col("__bytewise")]
+    out = _take(out, HEAD)
     out = _settle(
-        out, [*kept, raw, p.bytewise], "gt", "priority", "new", "nil_date", "date", "rest"
-    )
-
-    # Delimiters behind the timestamp. A null position ends the chain.
-    rest = p.rest
-    out = _step(out, space=F.instr(rest, " "))
-    out = _step(out, host_end=_found(p.space))
-    out = _step(out, space=F.position(F.lit(" "), rest, p.host_end + 1))
-    out = _step(out, app_end=_found(p.space))
-    tag = F.when(
-        p.app_end.isNotNull(), _between(rest, p.host_end + 1, p.app_end)
-    ).otherwise(F.substr(rest, p.host_end + 1))
-    out = _step(
-        out,
-        tag=F.when(~p.new, tag),
-        space=F.when(p.new, F.position(F.lit(" "), rest, p.app_end + 1)),
-    )
-    out = _step(
-        out,
-        procid_end=_found(p.space),
-        bracket=F.instr(p.tag, "["),
-        colon=F.instr(p.tag, ":"),
-    )
-    out = _step(
-        out,
-        tag_end=p.host_end
-        + F.least(_found(p.bracket), _found(p.colon), p.app_end - p.host_end),
-        space=F.position(F.lit(" "), rest, p.procid_end + 1),
+        out, [*kept, F.col("__line"), F.col("__ref_year")],
+        "__gt", "__priority", "__new", "__start", "__stamp",
     )
-    out = _step(
-        out, msgid_end=_found(p.space), opened=_char(rest, p.tag_end) == "["
-    )
-    out = _step(
-        out, close=F.when(p.opened, F.position(F.lit("]"), rest, p.tag_end + 1))
-    )
-    out = _step(out, pid_end=_found(p.close))
-    out = _step(
-        out,
-        after_pid=F.when(p.opened, p.pid_end + 1).otherwise(p.tag_end),
-        pid_text=F.when(p.new, _between(rest, p.app_end + 1, p.procid_end)).when(
-            p.opened, _between(rest, p.tag_end + 1, p.pid_end)
-        ),
-    )
-    after_tag = p.after_pid + F.when(_char(rest, p.after_pid) == ":", 1).otherwise(0)
-    out = _step(out, after_tag=after_tag, number=_integer(p.pid_text))
-    nil_structure = F.substring(rest, p.msgid_end + 1, F.lit(2)) == "- "
-    stored = p.number if store_procid else F.when(~p.new, p.number)
-    out = _step(
-        out,
-        body=F.when(p.new, p.msgid_end + F.when(nil_structure, 3).otherwise(1)).when(
-            _char(rest, p.after_tag) == " ", p.after_tag + 1
-        ),
-        facility=F.shiftright(p.priority, 3).try_cast("int"),
-        pid=F.coalesce(stored, F.lit(0).cast("bigint")).try_cast("int"),
-        bad_pid=p.pid_text.isNotNull()
-        & p.number.isNull()
-        & ~(p.new & p.pid_text.startswith("-")),
-        process_end=F.when(p.new, p.app_end).otherwise(p.tag_end),
-    )
-
-    # The first failure in reading order decides.
-    code = (
-        F.when(p.gt.isNull(), 1)
-        .when(p.gt == 0, 4)
-        .when(p.gt == 2, 2)
-        .when(p.priority.isNull(), 3)
-        .when(p.nil_date, 7)
-        .when(p.date.isNull(), 8)
-        .when(p.host_end.isNull(), 9)
-        .when(p.app_end.isNull() & (p.new | (p.tag == "")), 10)
-        .when(p.new & p.procid_end.isNull(), 11)
-        .when(p.process_end.isNull(), 15)
-        .when(p.opened & p.pid_end.isNull(), 14)
-        .when(p.bad_pid, 12)
-        .when(p.new & p.msgid_end.isNull(), 13)
-        .when(p.body.isNull(), 15)
-        .when(p.facility.isNull() | p.pid.isNull(), 16)
-    )
-    out = _step(out, code=code)
+    out = _take(out, (*date_steps(zone_offsets), *AFTER_DATE))
     out = _settle(
-        out,
-        [*kept, raw, p.bytewise, p.priority, p.date, rest],
-        "host_end", "process_end", "body", "facility", "pid", "code",
+        out, kept, "__gt", "__priority", "__new", "__nil_date", "__date", "__rest"
     )
-
-    def good(value: Column) -> Column:
-        return F.when(p.code.isNull(), value)
-
-    def text(value: Column) -> Column:
-        stored = F.when(p.bytewise, chars_as_bytes(value).cast("string")).otherwise(value)
-        return good(stored)
-
-    return out.select(
-        *kept,
-        good(p.date).alias("date"),
-        good(p.facility).alias("facility"),
-        good(p.priority.bitwiseAND(F.lit(7)).cast("int")).alias("severity"),
-        text(_between(rest, F.lit(1), p.host_end)).alias("hostname"),
-        text(_between(rest, p.host_end + 1, p.process_end)).alias("process"),
-        good(p.pid).alias("pid"),
-        text(F.substr(rest, p.body)).alias("data"),
-        p.code.alias("error_code"),
-        error_reason(p.code).alias("error_reason"),
-        raw.alias("raw"),
+    out = _take(out.withColumn("__store_procid", F.lit(store_procid)), BODY)
+    out = _settle(
+        out, [*kept, *map(F.col, ("__priority", "__date", "__rest"))],
+        "__host_end", "__process_end", "__body", "__facility", "__pid", "__code",
     )
+    return out.select(*columns, *[F.expr(sql).alias(name) for name, sql in FIELDS.items()])

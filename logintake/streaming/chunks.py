@@ -39,11 +39,16 @@ def chunk_stream(
         before = None
         if batch_id > 0:
             before = spark.read.parquet(f"{root}/open/batch_id={batch_id - 1}")
-        chunked = chunk_messages(
-            batch, key, ts, order, max_idle, max_logs, hot_rows, before
-        )
         target = f"{root}/chunks/batch_id={batch_id}"
-        chunked.write.mode("overwrite").parquet(target)
+        # Looked at twice, to count the rows of each sender and to cut them.
+        batch = batch.persist()
+        try:
+            chunked = chunk_messages(
+                batch, key, ts, order, max_idle, max_logs, hot_rows, before
+            )
+            chunked.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
         done = spark.read.schema(chunked.schema).parquet(target)
         now_open = left_open(done, key, ts, max_logs, order)
         if before is not None:
