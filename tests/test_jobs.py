@@ -224,3 +224,18 @@ def test_chunk_stream(spark, tmp_path, events, hot_rows):
     assert {
         r.event_id: (r.session_start, r.part, r.line_no) for r in got.collect()
     } == chunks_by_hand(rows.collect(), idle, 3)
+
+
+def test_run_as_a_job(spark, tmp_path):
+    from logintake.plans.run import main
+
+    (tmp_path / "spool").mkdir()
+    spool_file(tmp_path / "spool", 1, [message(n) for n in range(5)])
+    places = ["--spool", str(tmp_path / "spool"), "--tables"]
+    assert main(["batch", *places, str(tmp_path / "a"), "--max-wait", "0"]) == 0
+    assert main(["batch", *places, str(tmp_path / "a"), "--max-wait", "0"]) is None
+    main(["once", *places, str(tmp_path / "b"), "--checkpoint", str(tmp_path / "c")])
+    for root in ("a", "b"):
+        assert read_table(spark, str(tmp_path / root), "syslog").count() == 5
+    with pytest.raises(SystemExit):
+        main(["stream", *places, str(tmp_path / "b")])
