@@ -238,6 +238,9 @@ def parse_syslog(
     ``zone_offsets`` maps zone names to minutes east of UTC. The input columns
     other than ``col`` are kept.
     """
+    taken = set(FIELDS) & {c for c in df.columns if c != col}
+    if taken:
+        raise ValueError(f"rename the input columns {sorted(taken)}")
     columns = [F.col(f"`{c}`") for c in df.columns if c != col]
     out = df.select(
         *columns,

@@ -19,6 +19,7 @@ from logintake.operators.route import (
 from logintake.session import written
 
 DAY = "date_day"
+INGEST_TIME = "ingest_time"
 
 Writer = Callable[[DataFrame, str], None]
 
@@ -85,7 +86,7 @@ def write_tables(
         routed = routed.persist()
     elif keep != "none":
         raise ValueError(f"keep must be table, cache or none, not {keep!r}")
-    messages = routed.drop("error_code", "error_reason", "raw")
+    messages = routed.drop("error_code", "error_reason", "raw", INGEST_TIME)
     tables = {ERRORS: error_rows(routed, ingest_time), **processor_tables(messages, chain)}
     try:
         for table, rows in tables.items():

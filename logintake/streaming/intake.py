@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logintake.operators.report import observed
 from logintake.operators.route import Processor
 from logintake.plans.intake import parse_lines
-from logintake.plans.tables import Writer, parquet_writer, write_tables
+from logintake.plans.tables import INGEST_TIME, Writer, parquet_writer, write_tables
 
 
 def trigger(max_wait: dt.timedelta | None) -> dict:
@@ -39,24 +39,20 @@ def ingest_stream(
 
     Each micro-batch writes to folders of its own number and replaces them when
     it is repeated, so a failure leaves no duplicates. Unless given, ``ref_time``
-    and ``ingest_time`` are the start time of the micro-batch.
+    and ``ingest_time`` are the time of the micro-batch, which a repetition
+    keeps. Counts of lines and errors appear in the progress of the stream.
     """
+    parsed = parse_lines(lines.select(col), col, ref_time, **options)
+    when = F.current_timestamp() if ingest_time is None else ingest_time
+    parsed = observed(parsed.withColumn(INGEST_TIME, when), "intake")
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        now = F.lit(dt.datetime.now(dt.timezone.utc))
-        parsed = parse_lines(
-            batch.select(col), col, now if ref_time is None else ref_time, **options
-        )
         write_tables(
-            observed(parsed, "intake"),
-            writer(root, batch_id),
-            chain,
-            now if ingest_time is None else ingest_time,
-            keep="cache",
+            batch, writer(root, batch_id), chain, F.col(INGEST_TIME), keep="cache"
         )
 
     return (
-        lines.writeStream.foreachBatch(take)
+        parsed.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(max_wait))
         .start()

@@ -168,8 +168,10 @@ def test_stream_equals_batch_and_goes_on(spark, tmp_path):
         spool_file(spool, n, [r.line for r in rows[n:n + 100]])
     chain = Processors(Processor("click", F.col("process") == "click")).with_catch_all()
     query = start_ingest(spark, tmp_path, chain=chain)
-    # Three batches, and one row of numbers for each of them.
-    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    # Three batches, each with its numbers.
+    seen = [p.observedMetrics["intake"] for p in query.recentProgress if p.numInputRows]
+    assert [m.lines for m in seen] == [200, 200, 100]
+    assert sum(m.errors for m in seen) == sum(r.event_id % 6 == 5 for r in rows[:500])
     for n in range(500, 1000, 100):
         spool_file(spool, n, [r.line for r in rows[n:n + 100]])
     start_ingest(spark, tmp_path, chain=chain)
@@ -200,6 +202,19 @@ def test_repeated_micro_batch_leaves_no_copy(spark, tmp_path):
     assert read_table(spark, root, "errors").count() == 4
 
 
+def test_times_of_a_micro_batch(spark, tmp_path):
+    """Without a time given, errors of one micro-batch have one, and the year is now."""
+    (tmp_path / "spool").mkdir()
+    spool_file(tmp_path / "spool", 1, ["bad", "<13>Jan 15 00:00:00 h app: x", "worse"])
+    root, before = str(tmp_path / "tables"), dt.datetime.now()
+    lines = stream_spool(spark, str(tmp_path / "spool"))
+    ingest_stream(lines, root, str(tmp_path / "check"), max_wait=None).awaitTermination()
+    times = {r.date for r in read_table(spark, root, "errors").collect()}
+    assert len(times) == 1
+    assert before - dt.timedelta(days=1) < times.pop() < before + dt.timedelta(days=1)
+    assert abs(read_table(spark, root, "syslog").first().date.year - before.year) <= 1
+
+
 def test_trigger():
     assert trigger(None) == {"availableNow": True}
     assert trigger(dt.timedelta(seconds=10)) == {"processingTime": "10000 milliseconds"}

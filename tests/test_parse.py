@@ -119,6 +119,11 @@ def test_null_and_other_columns(spark):
     assert (row.error_code, row.raw, row["x.y"]) == (1, None, 1)
 
 
+def test_columns_are_not_overwritten(spark):
+    with pytest.raises(ValueError):
+        parse_syslog(spark.createDataFrame([("x", 1)], "line string, pid int"))
+
+
 def test_bytes_that_are_no_text(spark):
     lines = [
         b"<13>2024-01-01T00:00:00Z h\xe9 app[5]: d\xe9j\xe0 vu",
