@@ -1,9 +1,9 @@
 """Timestamps in front of a log message, as SQL expressions.
 
 A stamp counts only if a space follows it and its total length is one of the
-accepted layouts, so the patterns below fix shape and length together. Reading
-happens in two parts: ``STAMP`` cuts the stamp out of the head of a line,
-``date_steps`` turns the cut text into a date. Both are steps: each maps names
+accepted layouts, so the patterns below fix shape and length together. ``STAMP``
+cuts the stamp out of the head of a line, ``PARTS`` takes it apart, and
+``date_steps`` turns the parts into a date. All three are steps: each maps names
 of new columns to SQL over the columns before.
 """
 
@@ -74,8 +74,50 @@ def _word(at: int) -> str:
     return f"get(__words, {at})"
 
 
+# From ``__stamp`` to the words it consists of. Spark itself reads most ISO
+# stamps. It knows no comma, no one-digit hour and no offset beyond 18 hours, and
+# does not complete year 0; what is left is taken apart.
+PARTS = (
+    {
+        "__direct": """CASE WHEN substring(__stamp, 5, 1) = '-'
+              AND substring(__stamp, 14, 1) = ':' AND substring(__stamp, 1, 4) <> '0000'
+            THEN try_cast(__stamp AS timestamp) END"""
+    },
+    {"__left": "CASE WHEN __direct IS NULL THEN __stamp END"},
+    {"__words": "CASE WHEN substring(__left, 5, 1) <> '-' THEN split(__left, ' +') END"},
+    {
+        # The two layouts of five words differ in what the second word is.
+        "__layout": f"""CASE WHEN __words IS NULL THEN 'iso'
+            WHEN size(__words) = 3 THEN 'short' WHEN size(__words) = 6 THEN 'full'
+            WHEN substring({_word(1)}, 1, 1) BETWEEN '0' AND '9' THEN 'year'
+            ELSE 'weekday' END"""
+    },
+    {
+        "__year": _by_layout(
+            "substring(__left, 1, 4)", _word(3), "'0000'", _word(4), _word(4)
+        ),
+        "__month": _by_layout("''", _word(2), _word(0), _word(1), _word(0)),
+        "__mday": _by_layout("''", _word(1), _word(1), _word(2), _word(1)),
+        "__time": _by_layout(
+            f"substring(__left, 12, {HEAD_CHARS})", _word(4), _word(2), _word(3), _word(2)
+        ),
+        "__zone": _by_layout(
+            """CASE WHEN endswith(__left, 'Z') THEN 'Z'
+               WHEN substring(__left, -3, 1) = ':' THEN substring(__left, -6, 6)
+               ELSE substring(__left, -5, 5) END""",
+            _word(5), "NULL", "NULL", _word(3),
+        ),
+    },
+)
+
+# What ``date_steps`` reads of the columns so far.
+PARTS_KEPT = (
+    "__stamp", "__direct", "__left", "__layout", "__year", "__month", "__mday", "__time", "__zone",
+)
+
+
 def date_steps(zone_offsets: dict[str, int] | None = None) -> tuple[dict[str, str], ...]:
-    """Steps from ``__stamp`` to ``__date``, null if there is no such date.
+    """Steps from the parts to ``__date``, null if there is no such date.
 
     A stamp without a year, or of year 0, gets ``__ref_year``. Its day has to
     exist in a leap year; 29 February of a common year turns into 1 March. Zone
@@ -89,32 +131,8 @@ def date_steps(zone_offsets: dict[str, int] | None = None) -> tuple[dict[str, st
         f"WHEN __zone = '{name}' THEN {int(east)}" for name, east in zone_offsets.items()
     )
     return (
-        {"__words": "CASE WHEN substring(__stamp, 5, 1) <> '-' THEN split(__stamp, ' +') END"},
-        {
-            # The two layouts of five words differ in what the second word is.
-            "__layout": f"""CASE WHEN __words IS NULL THEN 'iso'
-                WHEN size(__words) = 3 THEN 'short' WHEN size(__words) = 6 THEN 'full'
-                WHEN substring({_word(1)}, 1, 1) BETWEEN '0' AND '9' THEN 'year'
-                ELSE 'weekday' END"""
-        },
-        {
-            "__year": _by_layout(
-                "substring(__stamp, 1, 4)", _word(3), "'0000'", _word(4), _word(4)
-            ),
-            "__month": _by_layout("''", _word(2), _word(0), _word(1), _word(0)),
-            "__mday": _by_layout("''", _word(1), _word(1), _word(2), _word(1)),
-            "__time": _by_layout(
-                f"substring(__stamp, 12, {HEAD_CHARS})", _word(4), _word(2), _word(3), _word(2)
-            ),
-            "__zone": _by_layout(
-                """CASE WHEN endswith(__stamp, 'Z') THEN 'Z'
-                   WHEN substring(__stamp, -3, 1) = ':' THEN substring(__stamp, -6, 6)
-                   ELSE substring(__stamp, -5, 5) END""",
-                _word(5), "NULL", "NULL", _word(3),
-            ),
-        },
         {
-            "__month_day": f"""CASE __layout WHEN 'iso' THEN substring(__stamp, 6, 5)
+            "__month_day": f"""CASE __layout WHEN 'iso' THEN substring(__left, 6, 5)
                 ELSE concat(lpad(cast((instr('{MONTHS}', lower(__month)) + 3) div 4 AS string), 2, '0'),
                             '-', lpad(__mday, 2, '0')) END""",
             "__clock": """CASE WHEN substring(__time, 2, 1) = ':' THEN concat('0', __time)
@@ -144,7 +162,8 @@ def date_steps(zone_offsets: dict[str, int] | None = None) -> tuple[dict[str, st
                    + try_cast(substring(__clock, 7, 2) AS int) END""",
         },
         {
-            "__date": """CASE WHEN __stamp <> '' THEN timestamp_micros(
+            "__date": """CASE WHEN __direct IS NOT NULL THEN __direct
+                WHEN __left <> '' THEN timestamp_micros(
                 (cast(unix_date(try_cast(__day AS date)) AS bigint) * 86400
                  + __seconds - __offset * 60) * 1000000
                 + CASE WHEN __digits > 0 THEN try_cast(

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logintake.functions.timestamps import HEAD_CHARS, STAMP, date_steps
+from logintake.functions.timestamps import HEAD_CHARS, PARTS, PARTS_KEPT, STAMP, date_steps
 
 # Reasons by code. Codes 5 and 6 are declared but never given;
 # 16 is our own, for numbers the integer columns cannot hold.
@@ -249,13 +249,14 @@ def parse_syslog(
     )
     kept = [*columns, F.col("__raw"), F.col("__bytewise")]
     out = _take(out, HEAD)
-    out = _settle(
-        out, [*kept, F.col("__line"), F.col("__ref_year")],
-        "__gt", "__priority", "__new", "__start", "__stamp",
-    )
+    head = ["__gt", "__priority", "__new", "__start"]
+    before = [*kept, F.col("__line"), F.col("__ref_year")]
+    out = _settle(out, before, *head, "__stamp")
+    out = _take(out, PARTS)
+    out = _settle(out, [*before, *map(F.col, head)], *PARTS_KEPT)
     out = _take(out, (*date_steps(zone_offsets), *AFTER_DATE))
     out = _settle(
-        out, kept, "__gt", "__priority", "__new", "__nil_date", "__date", "__rest"
+        out, [*kept, *map(F.col, head[:3])], "__nil_date", "__date", "__rest"
     )
     out = _take(out.withColumn("__store_procid", F.lit(store_procid)), BODY)
     out = _settle(
