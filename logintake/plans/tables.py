@@ -64,6 +64,18 @@ def jdbc_writer(url: str, **options: str) -> Writer:
     return write
 
 
+def _filled(
+    routed: DataFrame, tables: dict[str, DataFrame], chain: list[Processor], keep: str
+) -> list[str]:
+    """Tables that get rows; nothing is written for the others."""
+    if keep == "none":
+        return [table for table, rows in tables.items() if not rows.isEmpty()]
+    # At most one row per processor. A cache is filled by all cores here.
+    seen = {row[ROUTE] for row in routed.select(ROUTE).distinct().collect()}
+    filled = {p.target for p in chain if p.name in seen} | (seen & {ERRORS})
+    return [table for table in tables if table in filled]
+
+
 def write_tables(
     parsed: DataFrame,
     write: Writer,
@@ -89,9 +101,8 @@ def write_tables(
     messages = routed.drop("error_code", "error_reason", "raw", INGEST_TIME)
     tables = {ERRORS: error_rows(routed, ingest_time), **processor_tables(messages, chain)}
     try:
-        for table, rows in tables.items():
-            if not rows.isEmpty():
-                write(rows, table)
+        for table in _filled(routed, tables, chain, keep):
+            write(tables[table], table)
     finally:
         if keep == "cache":
             routed.unpersist()

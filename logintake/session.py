@@ -31,12 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="logintake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="logintake-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/logintake-{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from logintake.functions.codec import unescape
 from logintake.operators.route import Processor, Processors
 from logintake.plans import intake as plan
-from logintake.plans.tables import parquet_writer, read_table, write_tables
+from logintake.plans.tables import jdbc_writer, parquet_writer, read_table, write_tables
 from logintake.sources.spool import list_spool, read_spool, stream_spool, write_spool
 from logintake.streaming.chunks import chunk_stream
 from logintake.streaming.intake import ingest_stream, trigger
@@ -97,6 +97,12 @@ def test_empty_tables_are_not_written(spark, tmp_path):
         write_tables(plan.parse_lines(lines), parquet_writer(str(tmp_path)), keep="memory")
 
 
+def test_database_writer_needs_a_driver(spark):
+    rows = spark.createDataFrame([(1,)], "pid int")
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc_writer("jdbc:nothing:x", batchsize="10000")(rows, "syslog")
+
+
 def test_dispatch_takes_each_file_once(spark, tmp_path):
     spool, root = tmp_path / "spool", str(tmp_path / "tables")
     spool.mkdir()

@@ -15,8 +15,8 @@ GOOD = [
     "<34>Oct 11 22:14:15 mymachine su: 'su root' failed for lonvick on /dev/pts/8",
     "<13>Feb  5 17:32:18 10.0.0.99 Use the BFG!",
     "<165>Aug 24 05:34:00 CST 1987 mymachine myproc[10]: %% Mix=OK # %%",
-    "<0>2022-01-01T00:00:00Z hostname app ",
-    "<0>2022-01-01T00:00:00,123456789+0530 hostname app[10]: ",
+    "<7>2021-03-04T05:06:07Z gate ntpd ",
+    "<0>2021-03-04T05:06:07,123456789+0530 gate ntpd[31]: ",
     "<191>Mon, 15 Jan 2024 01:02:03 -0700 h app[+5]: text",
     "<191>Mon, 15 Jan 2024 01:02:03 GMT h app: text",
     "<1>mon JAN 15 01:02:03 2024 h app[5] text\nwith a second line",
@@ -24,7 +24,7 @@ GOOD = [
     "<-1>1 2024-01-01T1:02:03.1234Z h a - - -",
     "<13>Feb 29 12:00:00 ABC 2023 app: year is a word here",
     "<13>0000-02-29T12:00:00+02:00 h app: year zero",
-    "<13>Jun 15 12:00:00 host5: This line has no host",
+    "<13>Sep  9 09:09:09 cron: no host in front",
     "<13>Jun 5 12:00:00 CEST 2024 h é[7]: ünïcode 中",
     "<13>Jan 5 2:00:00.5 h app: a fraction in a short stamp",
 ]

@@ -284,6 +284,9 @@ SELECT date, facility, shown AS hostname FROM renamed WHERE route = 'urgent'""",
     "processor_catch_all": f"""{ROUTED}
 SELECT date, facility, severity, shown AS hostname, process, pid, data
 FROM renamed WHERE route = 'syslog'""",
+    "processor_tables": f"""{ROUTED}
+SELECT CASE route WHEN 'kernel' THEN 'audit' ELSE route END AS "table", count(*) AS n,
+  min(date) AS first, max(date) AS last FROM renamed GROUP BY 1""",
     "rule_filter": f"""{SENDERS}
 SELECT event_id, cn FROM senders
 WHERE event_type <> 'error' AND user_id <> 75 AND user_id NOT BETWEEN 10 AND 19""",

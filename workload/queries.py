@@ -199,6 +199,19 @@ def processor_catch_all(spark, sf_dir):
     return _table(spark, sf_dir, "syslog")
 
 
+def processor_counts(spark, sf_dir):
+    """Rows and time span of every table the chain writes."""
+    chain = _chain().with_catch_all()
+    tables = processor_tables(route_first_match(_mixed(spark, sf_dir), chain), chain)
+    out = None
+    for name, rows in tables.items():
+        counts = rows.agg(
+            F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last")
+        ).withColumn("table", F.lit(name))
+        out = counts if out is None else out.unionByName(counts)
+    return _naive(out, "first", "last")
+
+
 RULES = [("log-zone-75", "reject"), ("log-zone-1?", "reject"), ("log-zone-*", "accept")]
 
 
@@ -410,7 +423,7 @@ def intake_replay(spark, sf_dir):
     for _ in range(2):
         write_tables(
             _mixed(spark, sf_dir), parquet_writer(root, 1), _chain().with_catch_all(),
-            _ingest_time(), keep="none",
+            _ingest_time(), keep="cache",
         )
     tables = [
         read_table(spark, root, name).select(F.lit(name).alias("table"), "date")
@@ -487,6 +500,7 @@ ALL = {
     "processor_audit": processor_audit,
     "processor_urgent": processor_urgent,
     "processor_catch_all": processor_catch_all,
+    "processor_tables": processor_counts,
     "rule_filter": accept_senders,
     "rule_action": sender_actions,
     "escape_lines": escape_lines,
