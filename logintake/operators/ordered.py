@@ -51,6 +51,9 @@ def in_slices(
     spark = df.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if keys:
+        # Used up to three times, and far smaller than the rows it counts.
+        sizes = written(sizes)
     rows, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
     limit = hot_rows or max(MIN_HOT_ROWS, (rows or 0) // slices)
     whole = df.withColumn(SLICE, F.lit(WHOLE))

@@ -154,3 +154,12 @@ def test_audit(spark):
     lines = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y")], "file_name string, value string")
     got = sorted(map(tuple, spool_audit(lines, files).collect()))
     assert got == [("a", 2, 1, -1), ("b", 1, 2, 1), ("c", 0, 0, 0)]
+
+
+def test_no_rows_at_all(spark, arrivals):
+    none = arrivals.filter("event_id < 0")
+    assert chunked(none, dt.timedelta(hours=1), 3) == {}
+    assert unique_micros(none, "ts", "user_id", "event_id").count() == 0
+    assert unique_micros(none, "ts", None, "event_id").count() == 0
+    names = spark.createDataFrame([], "file_name string")
+    assert next_batch(spool_manifest(names), 5).count() == 0
