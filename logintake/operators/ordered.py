@@ -51,9 +51,6 @@ def in_slices(
     spark = df.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if keys:
-        # Used up to three times, and far smaller than the rows it counts.
-        sizes = written(sizes)
     rows, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
     limit = hot_rows or max(MIN_HOT_ROWS, (rows or 0) // slices)
     whole = df.withColumn(SLICE, F.lit(WHOLE))
@@ -64,7 +61,8 @@ def in_slices(
     if keys:
         # Fewer than rows / limit keys are hot, that is at most one per slice
         # unless the caller lowers the limit, so the list is small.
-        hot = _other(sizes.filter(F.col("_n") > limit).select(*keys), keys)
+        hot = written(sizes.filter(F.col("_n") > limit).select(*keys))
+        hot = _other(hot, keys)
         if rows // limit <= max(slices, 1000):
             hot = F.broadcast(hot)
         cut = df.join(hot, _same(keys), "left_semi")

@@ -121,6 +121,6 @@ def test_observed_numbers(spark, messages):
     from pyspark.sql import Observation
 
     seen = Observation("seen")
-    observed(messages, seen).write.format("noop").mode("overwrite").save()
+    observed(messages, seen, by_code=True).write.format("noop").mode("overwrite").save()
     numbers = seen.get
     assert (numbers["lines"], numbers["errors"], numbers["error_1"], numbers["error_8"]) == (5, 2, 1, 0)
