@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logintake.llm.blocks import exact_duplicates
+from logintake.llm.importance import importance_sample
+from logintake.llm.packing import pack
+from logintake.llm.planes import read_ids, write_ids
 from logintake.llm.secrets import KINDS, secret_scan
+from logintake.llm.seeds import leaks
+from logintake.llm.simhash import near_duplicates
 from logintake.llm.tables import read
+from logintake.llm.warc import look_up, write_archives, write_index
+from logintake.session import shared_folder
 
 
 def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +41,54 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2, ids=False)
+
+
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matches", "window")
+
+
+def op8_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = read(spark, sf_dir, "pages"), shared_folder(spark)
+    write_index(write_archives(pages, folder), folder)
+    return look_up(spark, folder, pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    write_ids(read(spark, sf_dir, "documents"), folder, _tokenizer("byte_bpe_50k.json"), 0)
+    return read_ids(spark, folder, digest=True)
+
+
+def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
+    "op3_differencing": op3_differencing,
     "op5_block_naming": op5_block_naming,
+    "op6_bit_sliced": op6_bit_sliced,
+    "op7_spaced_seeds": op7_spaced_seeds,
+    "op8_capture_index": op8_capture_index,
+    "op9_bit_planes": op9_bit_planes,
+    "op10_importance": op10_importance,
 }

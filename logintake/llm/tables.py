@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,12 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+# Bits of a filter on hashes: 8 MB.
+BITMAP_BITS = 26
+
+# Text that a task works on at a time.
+SLICE_BYTES = 8 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -59,11 +66,14 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def words_of(
+    column: pa.Array, lower: bool = True, dropped: np.ndarray | None = None
+) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each value: the distinct ones, the number of
     each word among them, and where each value's words start (with the end).
 
-    A-Z become a-z if ``lower``. Works on whole columns of bytes at once.
+    A-Z become a-z if ``lower``. Bytes of the table ``dropped`` are taken out of words,
+    and a word of such bytes alone is none. Works on whole columns of bytes at once.
     """
     data, starts = bytes_of(column)
     if lower:
@@ -73,7 +83,13 @@ def words_of(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray
     first[1:] &= ~solid[:-1]
     begins = starts[:-1][starts[:-1] < starts[1:]]
     first[begins] = solid[begins]
-    at = np.flatnonzero(first)
+    if dropped is not None:
+        word = np.cumsum(first)
+        solid &= ~dropped[data]
+        at = np.flatnonzero(solid)
+        at = at[np.flatnonzero(np.diff(word[at], prepend=0))]
+    else:
+        at = np.flatnonzero(first)
     compact = np.concatenate(([0], np.cumsum(solid)))
     offsets = np.append(compact[at], compact[-1])
     words = pa.LargeBinaryArray.from_buffers(
@@ -82,6 +98,35 @@ def words_of(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray
     return words.dictionary, words.indices.to_numpy(), np.searchsorted(at, starts)
 
 
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """A bit for each value of the top ``BITMAP_BITS`` bits of a column of hashes that
+    occurs: a filter of a fixed size, however many values there are."""
+    place = f"shiftrightunsigned({column}, {64 - BITMAP_BITS})"
+    words = rows.groupBy(F.expr(f"{place} div 64").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({place} % 64 as int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << BITMAP_BITS >> 6, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - BITMAP_BITS)
+    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES):
+    """The batches in parts of at most ``limit`` bytes of a column, or of one row."""
+    for batch in batches:
+        _, starts = bytes_of(batch.column(column))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = int(np.searchsorted(starts, starts[lo] + limit, "right")) - 1
+            hi = min(max(hi, lo + 1), batch.num_rows)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def filesystem(path: str):
     """The file system of a shared folder, and the path in it."""
     from pyarrow import fs
