@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logintake.llm.components import components
@@ -90,48 +90,76 @@ def _cut(bits: list[int], parts: int) -> list[list[int]]:
     return [part.tolist() for part in np.array_split(np.array(bits, np.int64), parts) if len(part)]
 
 
-def _value(bits: list[int]) -> Column:
-    """The bits of column ``fp`` at these places, others zero."""
+def _signed(bits: list[int]) -> int:
+    """A long with these bits set."""
     mask = sum(1 << b for b in bits)
-    return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _keyed(rows: DataFrame, choices: list[list[int]], path: Column) -> DataFrame:
-    """A row per choice of bits: the bucket is (path of choices, bits at these places)."""
-    keys = F.array(*[
-        F.struct((path * PATHS + i + 1).alias("path"), _value(bits).alias("key"))
-        for i, bits in enumerate(choices)
-    ])
-    return rows.select("fp", F.explode(keys).alias("at")).select("fp", "at.path", "at.key")
+def _keyed(rows: DataFrame, choices: list[tuple[int, int, list[int]]]) -> DataFrame:
+    """A row per choice of bits for each row of its ``path``: the bucket is the choice's
+    own path and the fingerprint's bits at these places. Choices are (path, own path, bits);
+    there are as many as the choices of bits made so far, whatever the number of rows."""
+    spark = rows.sparkSession
+    table = spark.createDataFrame(
+        [(path, own, _signed(bits)) for path, own, bits in choices], "path long, own long, mask long"
+    )
+    joined = rows.select("path", "fp", "size").join(F.broadcast(table), "path")
+    return joined.select(
+        F.col("own").alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp",
+        F.col("size").alias("was"),
+    )
+
+
+def _pieces(rows: DataFrame, bucket_rows: int) -> DataFrame:
+    """Buckets cut into pieces of about ``bucket_rows`` rows, and a bucket of its own, with
+    a ``part``, for each two pieces."""
+    n = F.ceil(F.col("size") / bucket_rows)
+    piece = F.pmod(F.xxhash64("fp"), n)
+    rows = rows.select("path", "key", "fp", n.alias("n"), piece.alias("piece"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    part = F.least("piece", "other") * F.col("n") + F.greatest("piece", "other") + 1
+    return rows.select("path", "key", "fp", part.alias("part"))
 
 
 def _dealt(fps: DataFrame, radius: int, blocks: int, bucket_rows: int) -> DataFrame:
-    """``path, key, fp``: every two fingerprints within the radius share a bucket, and no
-    bucket has more rows than ``bucket_rows`` unless all its bits are spent."""
+    """``path, key, part, fp``: every two fingerprints within the radius share a bucket,
+    and a bucket has at most about twice ``bucket_rows`` rows."""
     parts = _cut(list(range(64)), blocks)
     choices = [sum(some, []) for some in itertools.combinations(parts, blocks - radius)]
     spent = {i + 1: bits for i, bits in enumerate(choices)}
-    rows = _keyed(fps, choices, F.lit(0).cast("long"))
+    rows = _keyed(
+        fps.select("fp", F.lit(0).cast("long").alias("path"), F.lit(None).cast("long").alias("size")),
+        [(0, i, bits) for i, bits in spent.items()],
+    )
+    whole = ["path", "key", "fp", F.lit(0).cast("long").alias("part")]
     out = None
     while True:
-        large = written(rows.groupBy("path", "key").count().filter(F.col("count") > bucket_rows))
+        sizes = rows.groupBy("path", "key").agg(F.count(F.lit(1)).alias("size"), F.first("was").alias("was"))
+        large = written(sizes.filter(F.col("size") > bucket_rows))
         # At most one path per choice made so far.
-        paths = [r[0] for r in large.select("path").distinct().collect()]
-        paths = [p for p in paths if 64 - len(spent[p]) > radius]
+        paths = sorted(r[0] for r in large.select("path").distinct().collect())
         if not paths:
-            return rows if out is None else out.unionByName(rows)
-        large = large.filter(F.col("path").isin(paths)).select("path", "key")
-        small = rows.join(large, ["path", "key"], "left_anti")
+            done = rows.select(*whole)
+            return done if out is None else out.unionByName(done)
+        small = rows.join(large, ["path", "key"], "left_anti").select(*whole)
         out = small if out is None else out.unionByName(small)
-        members = written(rows.join(large, ["path", "key"], "left_semi"))
-        rows, deeper = None, {}
-        for path in sorted(paths):
+        # Dealt out again only where the last time halved it: a ball of near copies, which
+        # agree on nearly all bits, is cut into pieces instead.
+        open_paths = [p for p in paths if 64 - len(spent[p]) > radius]
+        shrank = (F.col("was").isNull() | (2 * F.col("size") <= F.col("was"))) & F.col("path").isin(open_paths)
+        members = written(rows.drop("was").join(large.withColumn("again", shrank), ["path", "key"]))
+        out = out.unionByName(_pieces(members.filter("NOT again"), bucket_rows))
+        finer, deeper = [], {}
+        for path in open_paths:
             rest = [b for b in range(64) if b not in spent[path]]
-            finer = [spent[path] + bits for bits in _cut(rest, radius + 1)]
-            deeper |= {path * PATHS + i + 1: bits for i, bits in enumerate(finer)}
-            one = _keyed(members.filter(F.col("path") == path), finer, F.lit(path).cast("long"))
-            rows = one if rows is None else rows.unionByName(one)
-        rows, spent = written(rows), deeper
+            for i, bits in enumerate(_cut(rest, radius + 1)):
+                own = path * PATHS + i + 1
+                deeper[own] = spent[path] + bits
+                finer.append((path, own, deeper[own]))
+        if not finer:
+            return out
+        rows, spent = written(_keyed(members.filter("again"), finer)), deeper
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
@@ -243,15 +271,18 @@ def _links(rows: DataFrame, radius: int) -> DataFrame:
         if held is not None and len(held):
             yield edges(held["fp"].to_numpy(), _starts(held))
 
-    dealt = rows.repartition("path", "key").sortWithinPartitions("path", "key", "fp")
-    return dealt.mapInArrow(run, "a long, b long")
+    bucket = ["path", "key", "part"]
+    dealt = rows.repartition(*bucket).sortWithinPartitions(*bucket, "fp")
+    return dealt.select(*bucket, "fp").mapInArrow(run, "a long, b long")
 
 
 def _starts(table: pa.Table) -> np.ndarray:
     """Rows at which a bucket begins."""
-    path, key = table["path"].to_numpy(), table["key"].to_numpy()
     new = np.ones(len(table), bool)
-    new[1:] = (path[1:] != path[:-1]) | (key[1:] != key[:-1])
+    new[1:] = False
+    for name in ("path", "key", "part"):
+        column = table[name].to_numpy()
+        new[1:] |= column[1:] != column[:-1]
     return np.flatnonzero(new)
 
 
