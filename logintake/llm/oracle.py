@@ -53,6 +53,39 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (doc_id)
 """
 
+OP2 = r"""
+WITH lasts AS (
+  SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last FROM conversations GROUP BY conv_id),
+sides AS (
+  SELECT 'chosen' AS side, conv_id, turn, role, text FROM conversations
+  UNION ALL
+  SELECT 'rejected', c.conv_id, turn, role, text FROM conversations c JOIN lasts USING (conv_id)
+  WHERE last IS NULL OR turn < last
+  UNION ALL
+  SELECT 'rejected', m.conv_id, coalesce(m.last, 1099511627776), c.role, c.text
+  FROM conversations c JOIN lasts l USING (conv_id) JOIN lasts m ON m.conv_id = xor(c.conv_id, 1)
+  WHERE c.role = 'assistant' AND c.turn = l.last),
+placed AS (
+  SELECT side, conv_id, role, text,
+         row_number() OVER (PARTITION BY side, conv_id ORDER BY turn) - 1 AS number
+  FROM sides),
+differs AS (
+  SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.number, b.number) AS number
+  FROM (SELECT * FROM placed WHERE side = 'chosen') a
+  FULL JOIN (SELECT * FROM placed WHERE side = 'rejected') b USING (conv_id, number)
+  WHERE a.side IS NULL OR b.side IS NULL OR a.role != b.role OR a.text != b.text),
+parts AS (
+  SELECT conv_id AS pair_id, number, role, text,
+         CASE WHEN common IS NULL OR number < common THEN 'prompt' ELSE side END AS part
+  FROM placed LEFT JOIN (SELECT conv_id, min(number) AS common FROM differs GROUP BY conv_id) USING (conv_id)
+  WHERE side = 'chosen' OR number >= common)
+SELECT pair_id, part, number, role, concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)) AS rendered,
+       CASE WHEN part != 'prompt' AND role = 'assistant' THEN 13 + length(role) ELSE 0 END::BIGINT AS mask_start,
+       CASE WHEN part != 'prompt' AND role = 'assistant' THEN 23 + length(role) + length(text) ELSE 0 END::BIGINT
+         AS mask_end
+FROM parts
+"""
+
 OP5 = r"""
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
@@ -61,7 +94,50 @@ FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ',
 WINDOW same AS (PARTITION BY norm)
 """
 
+_WORDS = """
+  SELECT {id}, generate_subscripts(words, 1) - 1 AS place, unnest(words) AS word FROM (
+    SELECT {id}, list_filter(
+        regexp_split_to_array(
+            regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[!-/:-@\\[-`{{-~]', '', 'g'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x != '') AS words
+    FROM {table})
+"""
+
+OP7 = f"""
+WITH d AS ({_WORDS.format(id='doc_id', table='documents')}),
+b AS ({_WORDS.format(id='item_id', table='benchmark')}),
+sizes AS (SELECT item_id, count(*) AS n, least(count(*), 13) AS size FROM b GROUP BY item_id),
+agree AS (
+  SELECT doc_id, item_id, d.place - b.place AS diagonal, b.place FROM d JOIN b USING (word)),
+dense AS (
+  SELECT doc_id, item_id, diagonal, list(place) AS places FROM agree JOIN sizes USING (item_id)
+  GROUP BY doc_id, item_id, diagonal, size HAVING count(*) >= ceil(0.8 * size)),
+best AS (
+  SELECT doc_id, item_id, size,
+         list_max(list_transform(range(0, n - size + 1), lambda lo:
+             len(list_filter(places, lambda p: p >= lo AND p < lo + size)))) AS matches
+  FROM dense JOIN sizes USING (item_id))
+SELECT doc_id, item_id, max(matches)::BIGINT AS matches, max(size)::BIGINT AS "window"
+FROM best WHERE matches >= ceil(0.8 * size) GROUP BY doc_id, item_id
+"""
+
+OP8 = r"""
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)),
+           '') AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id != max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages)
+WINDOW same AS (PARTITION BY html)
+"""
+
 ORACLE = {
     "op1_secret_ownership": OP1,
+    "op2_preference_turns": OP2,
     "op5_block_naming": OP5,
+    "op7_spaced_seeds": OP7,
+    "op8_capture_index": OP8,
 }

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from logintake.llm.blocks import exact_duplicates
 from logintake.llm.importance import importance_sample
+from logintake.llm.lines import drop_repeated_chunks
 from logintake.llm.packing import pack
 from logintake.llm.planes import read_ids, write_ids
+from logintake.llm.preference import preference_turns
 from logintake.llm.secrets import KINDS, secret_scan
 from logintake.llm.seeds import leaks
 from logintake.llm.simhash import near_duplicates
 from logintake.llm.tables import read
 from logintake.llm.warc import look_up, write_archives, write_index
-from logintake.session import shared_folder
+from logintake.session import shared_folder, written
 
 
 def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +43,41 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def preference_sides(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each conversation as the chosen side of a pair. Its rejected side ends, instead of
+    with its own last answer, with that of the neighbour (the id with its last bit turned).
+    """
+    turns = turns.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    last = F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last")
+    # Written, so that the joins can split a long conversation.
+    last = written(turns.groupBy("pair_id").agg(last))
+    marked = turns.join(last, "pair_id")
+    before = marked.filter(F.col("last").isNull() | (F.col("turn") < F.col("last")))
+    answers = marked.filter((F.col("role") == "assistant") & (F.col("turn") == F.col("last")))
+    answers = answers.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), "role", "text")
+    # Behind all turns where the conversation has no answer of its own.
+    place = F.coalesce("last", F.lit(1 << 40)).cast("long").alias("turn")
+    other = answers.join(last, "pair_id").select("pair_id", place, "role", "text")
+    return turns, before.drop("last").unionByName(other)
+
+
+def op2_preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_turns(*preference_sides(read(spark, sf_dir, "conversations")))
+
+
 def op3_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2, ids=False)
+    return pack(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2, ids=False)
+
+
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_repeated_chunks(read(spark, sf_dir, "documents"), counts=True)
+    return cleaned.select("doc_id", "text", "removed_chunks", "removed_lines")
 
 
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +103,7 @@ def op8_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
-    write_ids(read(spark, sf_dir, "documents"), folder, _tokenizer("byte_bpe_50k.json"), 0)
+    write_ids(read(spark, sf_dir, "documents"), folder, tokenizer_file("byte_bpe_50k.json"), 0)
     return read_ids(spark, folder, digest=True)
 
 
@@ -84,7 +113,9 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
+    "op2_preference_turns": op2_preference_turns,
     "op3_differencing": op3_differencing,
+    "op4_line_chunks": op4_line_chunks,
     "op5_block_naming": op5_block_naming,
     "op6_bit_sliced": op6_bit_sliced,
     "op7_spaced_seeds": op7_spaced_seeds,

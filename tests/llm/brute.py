@@ -109,3 +109,89 @@ def secrets(text: str | None) -> list[tuple]:
             if len(m[group]) >= least:
                 out.append((m.start(), rank, m.end(), kind, m[group]))
     return sorted(out)
+
+
+def chunks(text: str, window: int = 2, min_lines: int = 2, divisor: int = 2, long_line: int = 50) -> list[list[str]]:
+    """op4: the lines of each chunk."""
+    lines = text.split("\n")
+    hashes = [xxhash.xxh64_intdigest(line.encode(), 42) for line in lines]
+    out, held = [], []
+    for i, line in enumerate(lines):
+        long = len(line.encode().split()) >= long_line
+        if long and held:
+            out.append(held)
+            held = []
+        held.append(line)
+        rolled = 0
+        for back in range(min(window, i + 1)):
+            h = hashes[i - back]
+            rolled ^= ((h << back) | (h >> (64 - back))) & (2**64 - 1) if back else h
+        mark = (rolled >> 32) % divisor == 0
+        if long or (mark and len(held) >= min_lines):
+            out.append(held)
+            held = []
+    return out + [held] if held else out
+
+
+def without_repeats(docs: list[tuple], **options) -> dict[tuple, str]:
+    """op4: the text left of each (doc_id, text)."""
+    cut = {d: chunks(d[1] or "", **options) for d in set(docs)}
+    first = {}
+    long = options.get("long_line", 50)
+
+    def counts(chunk: list[str]) -> bool:
+        words = "\n".join(chunk).encode().split()
+        return bool(words) and (len(chunk) > 1 or len(words) >= long)
+
+    for d in sorted(cut, key=lambda d: (d[0] is None, d[0])):
+        for n, chunk in enumerate(cut[d]):
+            if counts(chunk):
+                first.setdefault("\n".join(chunk), (d, n))
+    out = {}
+    for d, parts in cut.items():
+        stay = [c for n, c in enumerate(parts) if not counts(c) or first["\n".join(c)] == (d, n)]
+        out[d] = "\n".join("\n".join(c) for c in stay)
+    return out
+
+
+def plain_words(text: str | None) -> list[str]:
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    kept = re.sub(r"[!-/:-@\[-`{-~]", "", lower)
+    return [w for w in re.split("[\x20\x09-\x0d]+", kept) if w]
+
+
+def overlaps(docs: list[tuple], items: list[tuple], window: int = 13, share: float = 0.8) -> set[tuple]:
+    """op7: (doc_id, item_id) with a window of enough agreeing words, over all alignments."""
+    found = set()
+    for d, text in docs:
+        words = plain_words(text)
+        for i, item in items:
+            other = plain_words(item)
+            size = min(window, len(other))
+            if len(other) < 8:
+                continue
+            for shift in range(-len(other) + 1, len(words)):
+                same = [0 <= shift + k < len(words) and words[shift + k] == w for k, w in enumerate(other)]
+                if any(sum(same[k : k + size]) >= share * size - 1e-9 for k in range(len(other) - size + 1)):
+                    found.add((d, i))
+    return found
+
+
+def preferences(chosen: list[tuple], rejected: list[tuple]) -> set[tuple]:
+    """op2: pair_id, part, number, role, text from (pair_id, turn, role, text), one per turn."""
+    sides = []
+    for side in (chosen, rejected):
+        by = defaultdict(list)
+        for pair, turn, role, text in sorted(set(side)):
+            by[pair].append((role, text))
+        sides.append(by)
+    out = set()
+    for pair in {*sides[0], *sides[1]}:
+        one, other = sides[0].get(pair, []), sides[1].get(pair, [])
+        n = 0
+        while n < min(len(one), len(other)) and one[n] == other[n]:
+            n += 1
+        out |= {(pair, "prompt", k, *t) for k, t in enumerate(one[:n])}
+        out |= {(pair, "chosen", k, *t) for k, t in enumerate(one) if k >= n}
+        out |= {(pair, "rejected", k, *t) for k, t in enumerate(other) if k >= n}
+    return out
