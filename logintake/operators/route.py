@@ -75,6 +75,14 @@ class Processors:
         return [*self.chain, catch_all()]
 
 
+def ending_in_catch_all(chain: Processors | list[Processor] | None) -> list[Processor]:
+    """The chain as a list whose last processor takes what is left."""
+    if chain is None or isinstance(chain, Processors):
+        return (chain or Processors()).with_catch_all()
+    last = catch_all()
+    return [*(p for p in chain if p.name != last.name), last]
+
+
 def route_first_match(messages: DataFrame, chain: list[Processor]) -> DataFrame:
     """Add ``route``, the name of the first processor that picks the row, or null.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from logintake.functions.codec import unescape
 from logintake.operators.manifest import next_batch
 from logintake.operators.parse import parse_syslog
-from logintake.operators.route import Processor
-from logintake.plans.tables import parquet_writer, write_tables
+from logintake.operators.route import Processor, Processors
+from logintake.plans.tables import Writer, parquet_writer, write_tables
 from logintake.sources.spool import NAME, list_spool, read_spool
 
 # Folders below the tables: files of each batch, and batches that are complete.
@@ -31,17 +32,19 @@ def parse_lines(
 def intake(
     lines: DataFrame,
     root: str,
-    chain: list[Processor] | None = None,
+    chain: Processors | list[Processor] | None = None,
     ref_time: Column | dt.datetime | str | None = None,
     ingest_time: Column | None = None,
     batch_id: str | int | None = None,
     col: str = "value",
     keep: str = "table",
+    writer: Callable[[str, str | int | None], Writer] = parquet_writer,
     **options,
 ) -> None:
-    """Stored lines to Parquet tables under ``root``."""
+    """Stored lines to tables: Parquet under ``root``, or what ``writer`` makes of the root
+    and the number of the batch, as ``lambda root, batch: jdbc_writer(url)``."""
     parsed = parse_lines(lines.select(col), col, ref_time, **options)
-    write_tables(parsed, parquet_writer(root, batch_id), chain, ingest_time, keep)
+    write_tables(parsed, writer(root, batch_id), chain, ingest_time, keep)
 
 
 def _batches(spark: SparkSession, folder: str) -> list[int]:
@@ -68,7 +71,7 @@ def dispatch(
     max_wait: dt.timedelta = dt.timedelta(seconds=10),
     waited: dt.timedelta | None = None,
     partitioned: bool = False,
-    chain: list[Processor] | None = None,
+    chain: Processors | list[Processor] | None = None,
     **options,
 ) -> int | None:
     """Take the next files of a spool folder in; returns the number of the batch.
@@ -81,8 +84,8 @@ def dispatch(
     """
     taken, done = f"{root}/{TAKEN}", f"{root}/{DONE}"
     batches, complete = _batches(spark, taken), _batches(spark, done)
-    number = len(complete)
-    if len(batches) == number:
+    number = max(complete, default=-1) + 1
+    if not batches or max(batches) < number:
         waiting = _not_taken(list_spool(spark, spool, partitioned), taken, batches)
         batch = next_batch(waiting, min_logs)
         logs, last = batch.agg(F.sum("logs"), F.max(NAME)).first()

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logintake.operators.route import (
     ERRORS,
     ROUTE,
     Processor,
-    catch_all,
+    Processors,
+    ending_in_catch_all,
     error_rows,
     processor_tables,
     route_first_match,
@@ -21,6 +23,9 @@ from logintake.session import written
 DAY = "date_day"
 INGEST_TIME = "ingest_time"
 
+# Folders beside the tables: the tables of each batch, and the columns of each table.
+ATTEMPTS, COLUMNS = "_attempts", "_columns"
+
 Writer = Callable[[DataFrame, str], None]
 
 
@@ -33,20 +38,66 @@ def by_day(df: DataFrame, date: str = "date") -> DataFrame:
     return laid.sortWithinPartitions(DAY, date)
 
 
-def parquet_writer(root: str, batch_id: str | int | None = None) -> Writer:
-    """Append to Parquet tables under ``root``; with a batch id, replace the
-    files of that batch, so that a repeated batch leaves no second copy."""
+class ParquetWriter:
+    """Parquet tables under ``root``.
 
-    def write(df: DataFrame, table: str) -> None:
-        path, mode = f"{root}/{table}", "append"
-        if batch_id is not None:
-            path, mode = f"{path}/batch_id={batch_id}", "overwrite"
+    Without a batch id rows are appended. With one, the folders of that batch are replaced,
+    those of tables included that an earlier attempt wrote and this one does not know, so a
+    repeated batch leaves neither a second copy nor stale rows. Which tables an attempt has
+    is written before the tables.
+
+    A table without rows is written too: its folder is there, and its columns are kept
+    beside the tables, so that it can be read.
+    """
+
+    def __init__(self, root: str, batch_id: str | int | None = None) -> None:
+        self.root, self.batch_id = root, batch_id
+
+    def begin(self, spark: SparkSession, tables: list[str]) -> None:
+        """Name the tables of this attempt; empty the batch's folders of all others."""
+        if self.batch_id is None:
+            return
+        listed = f"{self.root}/{ATTEMPTS}/batch_id={self.batch_id}"
+        known = _read(spark, listed, "table string")
+        earlier = set() if known is None else {r[0] for r in known.collect()}
+        both = sorted({*tables, *earlier})
+        spark.createDataFrame([(t,) for t in both], "table string").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(listed)
+        for table in sorted(earlier - set(tables)):
+            nothing = spark.createDataFrame([], _schema(spark, self.root, table))
+            self._write(nothing, table)
+
+    def __call__(self, df: DataFrame, table: str) -> None:
+        df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{COLUMNS}/{table}")
+        self._write(df, table)
+
+    def _write(self, df: DataFrame, table: str) -> None:
+        path, mode = f"{self.root}/{table}", "append"
+        if self.batch_id is not None:
+            path, mode = f"{path}/batch_id={self.batch_id}", "overwrite"
         if "date" in df.columns:
             by_day(df).write.mode(mode).partitionBy(DAY).parquet(path)
         else:
             df.write.mode(mode).parquet(path)
 
-    return write
+
+def parquet_writer(root: str, batch_id: str | int | None = None) -> Writer:
+    return ParquetWriter(root, batch_id)
+
+
+def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The rows of a folder, or None if there is none."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _schema(spark: SparkSession, root: str, table: str):
+    return spark.read.parquet(f"{root}/{COLUMNS}/{table}").schema
 
 
 def jdbc_writer(url: str, **options: str) -> Writer:
@@ -64,33 +115,25 @@ def jdbc_writer(url: str, **options: str) -> Writer:
     return write
 
 
-def _filled(
-    routed: DataFrame, tables: dict[str, DataFrame], chain: list[Processor], keep: str
-) -> list[str]:
-    """Tables that get rows; nothing is written for the others."""
-    if keep == "none":
-        return [table for table, rows in tables.items() if not rows.isEmpty()]
-    # At most one row per processor. A cache is filled by all cores here.
-    seen = {row[ROUTE] for row in routed.select(ROUTE).distinct().collect()}
-    filled = {p.target for p in chain if p.name in seen} | (seen & {ERRORS})
-    return [table for table in tables if table in filled]
-
-
 def write_tables(
     parsed: DataFrame,
     write: Writer,
-    chain: list[Processor] | None = None,
+    chain: Processors | list[Processor] | None = None,
     ingest_time: Column | None = None,
     keep: str = "table",
 ) -> None:
     """Errors first, then one table after the other in the order of the chain.
 
+    Every row goes to exactly one table: the catch-all stands behind every chain, and a
+    processor that writes to the errors table adds to the quarantine, whose missing columns
+    are null. All tables of the chain are written, with or without rows.
+
     Every table is a job of its own. So that the lines are parsed once, the
     routed rows are kept in a written table (``keep="table"``, for a run of any
     size), in executor memory and disk (``keep="cache"``, for a micro-batch), or
     not at all (``keep="none"``).
     """
-    chain = chain or [catch_all()]
+    chain = ending_in_catch_all(chain)
     routed = route_first_match(parsed, chain)
     if keep == "table":
         routed = written(routed, partition_by=ROUTE)
@@ -99,17 +142,22 @@ def write_tables(
     elif keep != "none":
         raise ValueError(f"keep must be table, cache or none, not {keep!r}")
     messages = routed.drop("error_code", "error_reason", "raw", INGEST_TIME)
-    tables = {ERRORS: error_rows(routed, ingest_time), **processor_tables(messages, chain)}
+    tables = {ERRORS: error_rows(routed, ingest_time)}
+    for table, rows in processor_tables(messages, chain).items():
+        known = tables.get(table)
+        tables[table] = rows if known is None else known.unionByName(rows, allowMissingColumns=True)
     try:
-        for table in _filled(routed, tables, chain, keep):
-            write(tables[table], table)
+        if isinstance(write, ParquetWriter):
+            write.begin(parsed.sparkSession, list(tables))
+        for table, rows in tables.items():
+            write(rows, table)
     finally:
         if keep == "cache":
             routed.unpersist()
 
 
-def read_table(spark, root: str, table: str) -> DataFrame:
-    """A written table without the columns of its layout."""
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}").drop(
-        DAY, "batch_id"
-    )
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A written table without the columns of its layout, also if it has no rows."""
+    stored = _schema(spark, root, table)
+    path = f"{root}/{table}"
+    return spark.read.option("basePath", path).schema(stored).parquet(path).select(*stored.names)

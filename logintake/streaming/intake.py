@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logintake.operators.report import observed
-from logintake.operators.route import Processor
+from logintake.operators.route import Processor, Processors
 from logintake.plans.intake import parse_lines
 from logintake.plans.tables import INGEST_TIME, Writer, parquet_writer, write_tables
 
@@ -27,7 +27,7 @@ def ingest_stream(
     lines: DataFrame,
     root: str,
     checkpoint: str,
-    chain: list[Processor] | None = None,
+    chain: Processors | list[Processor] | None = None,
     max_wait: dt.timedelta | None = dt.timedelta(seconds=10),
     ref_time: Column | dt.datetime | str | None = None,
     ingest_time: Column | None = None,

@@ -10,6 +10,8 @@ from logintake.operators.report import error_lines, error_report, observed
 from logintake.operators.route import (
     Processor,
     Processors,
+    catch_all,
+    ending_in_catch_all,
     error_rows,
     processor_tables,
     route_first_match,
@@ -51,11 +53,14 @@ def test_first_processor_wins_and_order_matters(messages):
         assert {r.route: r["count"] for r in routed.groupBy("route").count().collect()} == want
 
 
-def test_without_catch_all_the_rest_is_dropped(messages):
-    chain = [Processor("sshd", F.col("process") == "sshd")]
+def test_every_chain_ends_in_the_catch_all(messages):
+    sshd = Processor("sshd", F.col("process") == "sshd")
+    for chain in ([sshd], [catch_all(), sshd], Processors(sshd)):
+        assert [p.name for p in ending_in_catch_all(chain)] == ["sshd", "syslog"]
+    assert [p.name for p in ending_in_catch_all(None)] == ["syslog"]
+    chain = ending_in_catch_all([sshd])
     routed = route_first_match(valid_messages(messages), chain)
-    assert routed.filter(F.col("route").isNull()).count() == 1
-    assert [t.count() for t in processor_tables(routed, chain).values()] == [2]
+    assert [t.count() for t in processor_tables(routed, chain).values()] == [2, 1]
 
 
 def test_rewrite_reaches_later_processors_only(messages):
