@@ -1,7 +1,7 @@
 """Running computations along an order, for keys of any size.
 
 A window per key puts all rows of a key into one task. Here a key that holds
-more than an average shuffle partition is cut into slices of its order first.
+more than a fixed number of rows is cut into slices of its order first.
 Windows then run per slice, and what a slice needs to know of the rows before
 it (the carry) comes from one summary row per slice. Other keys are one slice.
 """
@@ -17,8 +17,14 @@ from logintake.session import written
 
 SLICE = "_slice"
 
-# A key below this many rows is never worth cutting.
-MIN_HOT_ROWS = 1_000_000
+# A key above this many rows is cut, and a slice has about as many.
+SLICE_ROWS = 1_000_000
+
+# Hot keys are sent to all tasks up to this number; more are joined by a shuffle.
+BROADCAST_KEYS = 100_000
+
+# Tells rows of the same order apart, so that they can lie in several slices.
+TIE = "_tie"
 
 # Slice numbers of keys that were not cut, and of state from before the first row.
 WHOLE, EARLIER = -1, -2
@@ -44,30 +50,29 @@ def in_slices(
 ) -> tuple[DataFrame, bool]:
     """The rows with a slice number, and whether any key was cut.
 
-    Slices ascend along ``order`` within a key. ``order`` has to tell the rows
-    of a key apart: equal rows stay together. ``hot_rows`` overrides the size
-    above which a key is cut.
+    Slices ascend along ``order`` within a key; rows that are equal in it are
+    dealt out by their number. ``hot_rows`` overrides the size above which a key
+    is cut, which is also that of a slice: the number of slices follows the rows.
     """
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rows, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    limit = hot_rows or max(MIN_HOT_ROWS, (rows or 0) // slices)
+    limit = hot_rows or SLICE_ROWS
     whole = df.withColumn(SLICE, F.lit(WHOLE))
     if (largest or 0) <= limit:
         return whole, False
 
     cut = df
     if keys:
-        # Fewer than rows / limit keys are hot, that is at most one per slice
-        # unless the caller lowers the limit, so the list is small.
+        # Fewer than rows / limit keys are hot.
         hot = written(sizes.filter(F.col("_n") > limit).select(*keys))
         hot = _other(hot, keys)
-        if rows // limit <= max(slices, 1000):
+        if rows // limit <= BROADCAST_KEYS:
             hot = F.broadcast(hot)
         cut = df.join(hot, _same(keys), "left_semi")
         whole = whole.join(hot, _same(keys), "left_anti")
-    cut = cut.repartitionByRange(slices, *keys, *order).withColumn(
+    slices = max(1, -(-rows // limit))
+    cut = cut.withColumn(TIE, F.monotonically_increasing_id())
+    cut = cut.repartitionByRange(slices, *keys, *order, TIE).drop(TIE).withColumn(
         SLICE, F.spark_partition_id()
     )
     # Range bounds are sampled, so the slices have to be computed once only.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logintake.operators.chunk import chunk_manifest, chunk_messages, left_open
 from logintake.operators.clock import unique_micros
 from logintake.operators.manifest import next_batch, spool_audit, spool_manifest
+from logintake.operators.ordered import in_slices
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -163,3 +164,13 @@ def test_no_rows_at_all(spark, arrivals):
     assert unique_micros(none, "ts", None, "event_id").count() == 0
     names = spark.createDataFrame([], "file_name string")
     assert next_batch(spool_manifest(names), 5).count() == 0
+
+
+def test_slices_follow_the_rows_and_split_ties(spark):
+    """A key with four times only is still cut into slices of about the given size."""
+    rows = spark.range(20_000).selectExpr("1L AS k", "id % 4 AS t")
+    got, cut = in_slices(rows, ["k"], ["t"], hot_rows=1000)
+    sizes = [r["count"] for r in got.groupBy("_slice").count().collect()]
+    assert cut and sum(sizes) == 20_000 and max(sizes) <= 2000 and len(sizes) >= 15
+    spans = got.groupBy("_slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy("_slice").collect()
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
