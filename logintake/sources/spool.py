@@ -8,6 +8,8 @@ In the partitioned one, which Spark can write, every chunk is a folder
 from __future__ import annotations
 
 import datetime as dt
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from logintake.functions.codec import escape
 from logintake.operators.chunk import chunk_manifest, chunk_messages
 from logintake.operators.manifest import spool_manifest
+from logintake.session import written
 
 PARTITION = "spool_file"
 NAME = "file_name"
@@ -73,17 +76,22 @@ def stream_spool(
 
 
 def list_spool(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
-    """Manifest of the folder. No file is opened; Spark lists no empty files."""
+    """Manifest of the folder, empty files included. No file is opened.
+
+    Spark's readers pass over empty files, but its listing has their names.
+    """
     reader = spark.read.format("binaryFile")
     if partitioned:
-        files = reader.option("recursiveFileLookup", "true").load(path)
-        name = F.regexp_extract("path", PARTITION + "=([^/]+)/", 1)
-        files = files.groupBy(name.alias(NAME)).agg(F.sum("length").alias("bytes"))
+        listed = reader.option("recursiveFileLookup", "true").load(path)
+        name, of = F.regexp_extract("path", PARTITION + "=([^/]+)/", 1), f"/{PARTITION}=([^/]+)/"
     else:
-        files = reader.option("pathGlobFilter", PATTERN).load(path)
-        files = files.select(
-            F.col("_metadata.file_name").alias(NAME), F.col("length").alias("bytes")
-        )
+        listed = reader.load(path)
+        name, of = F.col("_metadata.file_name"), "/([^/]+)$"
+    found = (re.search(of, unquote(file)) for file in listed.inputFiles())
+    names = sorted({match[1] for match in found if match})
+    sizes = listed.groupBy(name.alias(NAME)).agg(F.sum("length").alias("bytes"))
+    files = spark.createDataFrame([(n,) for n in names], f"{NAME} string").join(sizes, NAME, "left")
+    files = files.select(NAME, F.coalesce("bytes", F.lit(0)).alias("bytes"))
     return spool_manifest(files)
 
 
@@ -104,8 +112,11 @@ def write_spool(
     The commit at the end of the job makes all chunks visible together.
     """
     order = [order] if isinstance(order, str) else list(order)
-    chunked = chunk_messages(
-        messages.select(key, ts, *order, col), key, ts, order, max_idle, max_logs, hot_rows
+    # Written: names and lines both need it, and the chunks are computed once.
+    chunked = written(
+        chunk_messages(
+            messages.select(key, ts, *order, col), key, ts, order, max_idle, max_logs, hot_rows
+        )
     )
     names = chunk_manifest(chunked, key, ts, hot_rows).select(
         *[F.col(c).alias("_" + c) for c in (key, "session_start", "part")],
