@@ -48,15 +48,3 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, if the input comes in fewer parts than there are cores.
-
-    A small or unsplittable file would otherwise be the work of one task. An
-    input of many parts is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -35,14 +35,15 @@ def message(n, text="text"):
 def test_plain_folder(spark, tmp_path):
     first = spool_file(tmp_path, 1, ["a\rb", "c", ""], end="\r\n")
     second = spool_file(tmp_path, 2, ["only"], declared=3)
-    spool_file(tmp_path, 4, [], declared=3)
+    empty = spool_file(tmp_path, 4, [], declared=3)
     spool_file(tmp_path, 3, ["x"]), (tmp_path / ".0.1.log").write_text("y\n")
     (tmp_path / "zz.1.log").write_text("z\n"), (tmp_path / "notes.txt").write_text("z\n")
     lines = read_spool(spark, str(tmp_path))
     got = [r.value for r in lines.filter(F.col("file_name") == first).collect()]
     assert got == ["a\rb", "c", ""]
     files = {r.file_name: (r.logs, r.bytes) for r in list_spool(spark, str(tmp_path)).collect()}
-    assert files[first] == (3, 10) and files[second] == (3, 5) and len(files) == 3
+    assert files[first] == (3, 10) and files[second] == (3, 5) and files[empty] == (3, 0)
+    assert len(files) == 4
 
 
 def test_written_folder(spark, tmp_path, events):
@@ -89,12 +90,53 @@ def test_tables_are_replaced_by_a_repeated_batch(spark, tmp_path):
     assert len(days) == 28
 
 
-def test_empty_tables_are_not_written(spark, tmp_path):
+def test_empty_tables_can_be_read(spark, tmp_path):
     lines = spark.createDataFrame([(message(1),)], "value string")
-    plan.intake(lines, str(tmp_path), ref_time=REF)
-    assert not os.path.exists(tmp_path / "errors")
+    root = str(tmp_path)
+    for batch in (None, 1):
+        plan.intake(lines, root, ref_time=REF, batch_id=batch)
+        assert read_table(spark, root, "errors").columns == ["date", "data"]
+        assert read_table(spark, root, "errors").count() == 0
     with pytest.raises(ValueError):
-        write_tables(plan.parse_lines(lines), parquet_writer(str(tmp_path)), keep="memory")
+        write_tables(plan.parse_lines(lines), parquet_writer(root), keep="memory")
+
+
+@pytest.mark.parametrize("keep", ["table", "cache", "none"])
+def test_a_table_may_share_the_quarantine(spark, tmp_path, keep):
+    lines = spark.createDataFrame([(message(1),), (message(2),), ("bad",)], "value string")
+    picked = Processor("one", F.col("pid") == 1, lambda d: d.select("date", "pid"), table="errors")
+    parsed = plan.parse_lines(lines, ref_time=REF)
+    write_tables(parsed, parquet_writer(str(tmp_path)), [picked], now(), keep=keep)
+    got = {(r.data, r.pid) for r in read_table(spark, str(tmp_path), "errors").collect()}
+    assert got == {("bad", None), (None, 1)}
+    assert [r.pid for r in read_table(spark, str(tmp_path), "syslog").collect()] == [2]
+
+
+def test_another_chain_leaves_no_stale_rows(spark, tmp_path):
+    lines = spark.createDataFrame([(message(1),), (message(2),)], "value string")
+    root, mine = str(tmp_path), Processor("mine", F.col("pid") == 1)
+    for chain, want in (([mine], (1, 1)), (None, (0, 2)), ([mine], (1, 1))):
+        for batch in (1, 1):
+            plan.intake(lines, root, chain, ref_time=REF, batch_id=batch)
+        assert tuple(read_table(spark, root, t).count() for t in ("mine", "syslog")) == want
+    # Another batch keeps its own.
+    plan.intake(lines, root, [mine], ref_time=REF, batch_id=2)
+    plan.intake(lines, root, None, ref_time=REF, batch_id=1)
+    assert tuple(read_table(spark, root, t).count() for t in ("mine", "syslog")) == (1, 3)
+
+
+def test_batch_intake_to_another_writer(spark, tmp_path):
+    taken = {}
+
+    def writer(root, batch):
+        def write(df, table):
+            taken[root, batch, table] = df.count()
+
+        return write
+
+    lines = spark.createDataFrame([(message(1),), ("bad",)], "value string")
+    plan.intake(lines, "db", ref_time=REF, batch_id=7, writer=writer)
+    assert taken == {("db", 7, "errors"): 1, ("db", 7, "syslog"): 1}
 
 
 def test_database_writer_needs_a_driver(spark):
@@ -226,6 +268,27 @@ def test_trigger():
     assert trigger(dt.timedelta(seconds=10)) == {"processingTime": "10000 milliseconds"}
 
 
+def test_closed_sessions_leave_the_state(spark, tmp_path):
+    """Five senders a day, each day others: the state stays level, late messages are counted."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "k long, ts timestamp, n long"
+    for day in range(4):
+        start = dt.datetime(2024, 1, 1 + day)
+        rows = [(10 * day + i, start, i) for i in range(5)]
+        if day == 3:
+            rows.append((0, start - dt.timedelta(days=2), 9))
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        chunk_stream(
+            spark.readStream.schema(schema).parquet(source), out, str(tmp_path / "check"), "k", "ts", "n",
+            max_wait=None,
+        ).awaitTermination()
+    read = lambda name: spark.read.parquet(f"{out}/{name}").groupBy("batch_id")
+    assert [r["count"] for r in read("open").count().orderBy("batch_id").collect()] == [5, 5, 5, 5]
+    late = read("clock").agg(F.sum("late").alias("late")).orderBy("batch_id")
+    assert [r.late for r in late.collect()] == [0, 0, 0, 1]
+    assert spark.read.parquet(f"{out}/chunks").count() == 21
+
+
 @pytest.mark.parametrize("hot_rows", [None, 20])
 def test_chunk_stream(spark, tmp_path, events, hot_rows):
     from test_ordered import chunks_by_hand

@@ -2,7 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from logintake.session import shared_folder, spread, written
+from logintake.session import shared_folder, written
+from workload.render import spread
 
 
 def session(master, setting=None, checkpoint=None):

@@ -7,7 +7,24 @@ parses a line.
 from __future__ import annotations
 
 from workload import shapes
-from logintake.operators.parse import REASONS
+
+# The reasons that the rendered lines can have.
+REASONS = {
+    1: "'<' expected at start of message",
+    2: "priority cannot be empty",
+    3: "can't decode priority",
+    4: "priority not terminated",
+    7: "cannot process log without date",
+    8: "cannot decode timestamp",
+    9: "hostname not found",
+    10: "process name not found",
+    11: "pid not found",
+    12: "can't decode pid",
+    13: "msgid not found",
+    14: "close ] not found",
+    15: "tag not followed by seperation marker",
+    16: "out of column range",
+}
 
 PARTS = """
 parts AS (
@@ -299,7 +316,7 @@ FROM pages""",
     "escape_roundtrip": "SELECT doc_id, replace(text, ' ', '\\') AS text FROM documents",
     "unescape_bytes": "SELECT doc_id, concat('88', hex(encode(text))) AS bytes FROM documents",
     "unescape_invalid": " UNION ALL ".join(
-        f"SELECT doc_id, '{name}' AS ending, concat(text, '{tail}') AS line, false AS valid "
+        f"SELECT doc_id, '{name}' AS ending, concat({_spelled('encode(text)')}, '{tail}') AS line, false AS valid "
         "FROM documents"
         for name, tail in shapes.BAD_ESCAPES.items()
     ),
@@ -308,6 +325,8 @@ FROM pages""",
     "next_batch_sliced": BATCH,
     "chunk_messages": f"{CHUNKS} SELECT * FROM chunks",
     "chunk_hot_sender": f"{_chunks(HOT_ARRIVALS, '30 minutes', 50)} SELECT * FROM chunks",
+    "chunk_ties": f"""{_chunks(HOT_ARRIVALS.replace('event_id, ts,', "event_id, date_trunc('day', ts) AS ts,"), '6 hours', 50)}
+SELECT user_id, CAST(session_start AS TIMESTAMP) AS session_start, part, count(*) AS n FROM chunks GROUP BY ALL""",
     "chunk_manifest": f"""{CHUNKS},
 made AS (
   SELECT user_id, session_start, part, min(ts) AS start_ts, count(*) AS logs
@@ -322,8 +341,24 @@ SELECT file_name, line FROM lines JOIN spooled USING (event_id)""",
     "spool_documents": """SELECT CAST(doc_id AS INTEGER) AS pid, text AS data,
   CAST(NULL AS INTEGER) AS error_code FROM documents""",
     "spool_audit": f"""WITH {SPOOL}
-SELECT file_name, count(*) AS declared, count(*) AS actual, CAST(0 AS BIGINT) AS difference
-FROM spooled GROUP BY file_name""",
+SELECT concat(substr(file_name, 1, 17), lower(lpad(to_hex(declared), 8, '0')), '.log') AS file_name,
+  declared, actual, actual - declared AS difference
+FROM (SELECT file_name, count(*) AS actual, count(*) + [0, 1, -1][count(*) % 3 + 1] AS declared
+  FROM spooled GROUP BY file_name)
+UNION ALL SELECT '0000000000000001.00000003.log', 3, 0, -3""",
+    "write_shared_errors": f"""{MIXED_LINES},
+messages AS (SELECT event_id, {MIXED_MESSAGE} FROM parts WHERE event_id % 6 <> 5)
+SELECT TIMESTAMP '2024-06-01 12:00:00' AS date, line AS data FROM lines WHERE code IS NOT NULL
+UNION ALL SELECT date, data FROM messages WHERE process = 'error'""",
+    "write_without_catch_all": f"""{MESSAGES}
+SELECT 'errors' AS "table", count(*) AS n FROM events WHERE event_id % 6 = 5
+UNION ALL SELECT 'failed', count(*) FROM messages WHERE process = 'error'
+UNION ALL SELECT 'syslog', count(*) FROM messages WHERE process <> 'error'""",
+    "intake_replay_changed": f"""{MESSAGES}
+SELECT 'errors' AS "table", count(*) AS n FROM events WHERE event_id % 6 = 5
+UNION ALL SELECT 'audit', 0
+UNION ALL SELECT 'urgent', count(*) FROM messages WHERE severity = 0
+UNION ALL SELECT 'syslog', count(*) FROM messages WHERE severity <> 0""",
     "intake_batch": MESSAGE_ROWS,
     "intake_dispatch": ERROR_ROWS,
     "intake_replay": f"""{ROUTED},

@@ -268,7 +268,7 @@ def unescape_invalid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.explode(ends).alias("end")
     )
-    lines = docs.select("doc_id", "end.ending", F.concat("text", "end.tail").alias("line"))
+    lines = docs.select("doc_id", "end.ending", F.concat(escape("text"), "end.tail").alias("line"))
     return lines.select(
         "doc_id", "ending",
         unescape(F.col("line")).alias("line"), escape_valid(F.col("line")).alias("valid"),
@@ -390,7 +390,18 @@ def spool_documents(spark, sf_dir):
 
 
 def audit(spark, sf_dir):
-    path = _spool(spark, sf_dir)
+    """Files that declare one line more, one less, or as many as they hold, by their size;
+    and one without any line."""
+    whole, path = _spool(spark, sf_dir), shared_folder(spark)
+    size = F.conv(F.substring("file_name", 18, 8), 16, 10).cast("bigint")
+    declared = size + F.element_at(F.array(F.lit(0), F.lit(1), F.lit(-1)), (size % 3 + 1).cast("int"))
+    name = F.concat(
+        F.substring("file_name", 1, 17), F.lower(F.lpad(F.hex(declared), 8, "0")), F.lit(".log")
+    )
+    lines = read_spool(spark, whole, partitioned=True).select("value", name.alias("spool_file"))
+    lines.write.partitionBy("spool_file").text(path)
+    empty = spark.createDataFrame([], "value string").coalesce(1)
+    empty.write.text(f"{path}/spool_file=0000000000000001.00000003.log")
     return spool_audit(
         read_spool(spark, path, partitioned=True), list_spool(spark, path, partitioned=True)
     )
@@ -437,6 +448,45 @@ def intake_replay(spark, sf_dir):
     )
 
 
+def _counted(spark, root: str, names: list[str]) -> DataFrame:
+    """Rows of each table, those without any included."""
+    tables = [read_table(spark, root, name).select(F.lit(name).alias("table")) for name in names]
+    union = tables[0]
+    for other in tables[1:]:
+        union = union.unionByName(other)
+    every = spark.createDataFrame([(name,) for name in names], "table string")
+    counts = union.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    return every.join(counts, "table", "left").select("table", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def write_shared_errors(spark, sf_dir):
+    """A processor that writes to the errors table adds to the quarantine."""
+    root = shared_folder(spark)
+    failed = Processor(
+        "failed", F.col("process") == "error", lambda df: df.select("date", "data"), table="errors"
+    )
+    write_tables(_mixed(spark, sf_dir), parquet_writer(root, 1), Processors(failed), _ingest_time())
+    return _naive(read_table(spark, root, "errors").select("date", "data"))
+
+
+def write_without_catch_all(spark, sf_dir):
+    """A plain list as chain; what its processor leaves is in the catch-all's table."""
+    root = shared_folder(spark)
+    chain = [Processor("failed", F.col("process") == "error")]
+    write_tables(_mixed(spark, sf_dir), parquet_writer(root, 1), chain, _ingest_time())
+    return _counted(spark, root, ["errors", "failed", "syslog"])
+
+
+def intake_replay_changed(spark, sf_dir):
+    """The same batch again with another chain: tables of the first attempt are empty."""
+    root = shared_folder(spark)
+    for chain in (_chain(), Processors(Processor("urgent", F.col("severity") == 0))):
+        write_tables(
+            _mixed(spark, sf_dir), parquet_writer(root, 1), chain, _ingest_time(), keep="cache"
+        )
+    return _counted(spark, root, ["errors", "audit", "urgent", "syslog"])
+
+
 def daily_layout(spark, sf_dir):
     path = shared_folder(spark)
     by_day(valid_messages(_mixed(spark, sf_dir))).write.partitionBy("date_day").parquet(path)
@@ -460,29 +510,37 @@ def ingest(spark, sf_dir):
 
 
 def chunks_in_stream(spark, sf_dir):
-    """Events written in four files by time, one file per micro-batch."""
+    """Events that arrive in four stretches of time, each taken by a micro-batch.
+
+    The inner bounds come from the data; the first and the last stretch are open, and an
+    event without a time is in the first.
+    """
     root, checkpoint, source = (shared_folder(spark) for _ in range(3))
     arrivals = _arrivals(spark, sf_dir)
-    day = F.to_date("ts")
-    for start in ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22"):
-        from_day = F.lit(start).cast("date")
-        last = start == "2024-01-22"
-        part = arrivals.filter(
-            (day >= from_day) & (F.lit(last) | (day < F.date_add(from_day, 7)))
-        )
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = (
-        spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    chunk_stream(
-        stream, root, checkpoint, "user_id", "ts", "event_id", GAP, CAP, max_wait=None
-    ).awaitTermination()
+    at = micros(F.col("ts"))
+    first, last = arrivals.agg(F.min(at), F.max(at)).first()
+    span = ((last or 0) - (first or 0)) // 4 + 1
+    stretch = F.coalesce(F.least(F.lit(3), F.greatest(F.lit(0), F.floor((at - (first or 0)) / span))), F.lit(0))
+    for n in range(4):
+        arrivals.filter(stretch == n).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(arrivals.schema).parquet(source)
+        chunk_stream(
+            stream, root, checkpoint, "user_id", "ts", "event_id", GAP, CAP, max_wait=None
+        ).awaitTermination()
     return _naive(
         spark.read.option("basePath", f"{root}/chunks").parquet(f"{root}/chunks/*").drop("batch_id"),
         "session_start",
     )
 
 
+def chunk_ties(spark, sf_dir):
+    """A sender with a third of all events, which have no time but their day."""
+    days = _hot_arrivals(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts"))
+    out = chunk_messages(days, "user_id", "ts", max_idle=GAP, max_logs=50, hot_rows=100)
+    sizes = out.groupBy("user_id", "session_start", "part").agg(F.count(F.lit(1)).alias("n"))
+    return _naive(sizes, "session_start")
+
+
 ALL = {
     "parse_syslog": parse_syslog_mixed,
     "parse_rfc5424": parse_rfc5424,
@@ -513,6 +571,7 @@ ALL = {
     "next_batch_sliced": batch_files_in_slices,
     "chunk_messages": chunks,
     "chunk_hot_sender": chunks_of_hot_sender,
+    "chunk_ties": chunk_ties,
     "chunk_manifest": chunk_files,
     "unique_micros": unique_stamps,
     "unique_micros_global": unique_stamps_global,
@@ -522,6 +581,9 @@ ALL = {
     "intake_batch": intake_batch,
     "intake_dispatch": intake_dispatch,
     "intake_replay": intake_replay,
+    "write_shared_errors": write_shared_errors,
+    "write_without_catch_all": write_without_catch_all,
+    "intake_replay_changed": intake_replay_changed,
     "daily_layout": daily_layout,
     "ingest_stream": ingest,
     "chunk_stream": chunks_in_stream,

@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logintake.session import spread
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, if a given file comes in fewer parts than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
