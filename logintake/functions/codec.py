@@ -25,6 +25,9 @@ NAMED_ESCAPES = [
     ("\\", r"\\"),
 ]
 
+# Stands for a pair of backslashes while the other escapes are replaced.
+MARK = "\x01"
+
 # What may stand in a line as itself, and one valid escape.
 PLAIN = r"[ -\[\]-~]"
 ESCAPE = r"\\(?:[abtnvfr\\]|x[0-9A-Fa-f]{2})"
@@ -61,11 +64,19 @@ def escape(col: Column | str) -> Column:
     """Printable form of a string or binary column."""
     col = _column(col)
     text = col.cast("string")
+    # Enough where no byte needs a hex escape. The backslash first: it is in all others.
+    named = F.replace(text, F.lit("\\"), F.lit(r"\\"))
+    for byte, escape_ in NAMED_ESCAPES[:-1]:
+        named = F.replace(named, F.lit(byte), F.lit(escape_))
     runs = F.regexp_extract_all(bytes_as_chars(col), F.lit(_RUN), F.lit(0))
     spelled = F.array_join(
         F.transform(runs, lambda r: F.when(r.rlike("^" + PLAIN), r).otherwise(_spell(r))), ""
     )
-    return F.when(text.rlike(rf"^{PLAIN}*+\z"), text).otherwise(spelled)
+    return (
+        F.when(text.rlike(rf"^{PLAIN}*+\z"), text)
+        .when(named.rlike(r"^[ -~]*+\z"), named)
+        .otherwise(spelled)
+    )
 
 
 def _meaning(token: Column, literal: Column) -> Column:
@@ -96,8 +107,25 @@ def unescape(col: Column | str) -> Column:
         tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
         return F.array_join(F.transform(tokens, lambda t: _meaning(t, literal(t))), "")
 
+    slash = F.lit("\\")
+    # Of printable ASCII, as escape makes it, a pair of backslashes can be marked by a byte
+    # that the line cannot hold; the letters are then replaced one after the other.
+    printable = (F.length(col) == F.octet_length(col)) & ~F.contains(col, F.lit(MARK))
+    named = F.replace(col, F.lit(r"\\"), F.lit(MARK))
+    for byte, escape_ in NAMED_ESCAPES[:-1]:
+        named = F.replace(named, F.lit(escape_), F.lit(byte))
+    # Hex escapes are those of a URL, which has a decoder. It gives null for a malformed
+    # one, and U+FFFD for bytes that are no UTF-8: both are left to the tokens.
+    url = F.replace(F.replace(named, F.lit("%"), F.lit("%25")), F.lit("+"), F.lit("%2B"))
+    url = F.replace(F.replace(url, F.lit(MARK), F.lit("%5C")), F.lit(r"\x"), F.lit("%"))
+    from_url = F.try_url_decode(url)
+    clean = ~F.contains(url, slash) & ~F.contains(from_url, F.lit("\ufffd"))
+
     return (
-        F.when(~F.contains(col, F.lit("\\")) | ~escape_valid(col), col)
+        F.when(~F.contains(col, slash), col)
+        .when(printable & ~F.contains(named, slash), F.replace(named, F.lit(MARK), slash))
+        .when(printable & F.coalesce(clean, F.lit(False)), from_url)
+        .when(~escape_valid(col), col)
         .when(F.is_valid_utf8(col), decoded(col, lambda t: t))
         # Any other line is read with one character per byte.
         .otherwise(decoded(bytes_as_chars(col), lambda t: chars_as_bytes(t).cast("string")))
