@@ -10,7 +10,7 @@ import argparse
 import datetime as dt
 import time
 
-from logintake.plans.intake import dispatch
+from logintake.plans.dispatch import dispatch
 from logintake.session import get_session
 from logintake.sources.spool import stream_spool
 from logintake.streaming.intake import ingest_stream
@@ -27,6 +27,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--min-logs", type=int, default=10_000)
     parser.add_argument("--max-wait", type=float, default=10, help="seconds")
     parser.add_argument("--max-files", type=int, default=1000, help="files of a micro-batch")
+    parser.add_argument("--clean-source", choices=["off", "delete", "archive"], default="off",
+                        help="what becomes of files that have been read")
+    parser.add_argument("--archive", help="folder for them")
     parser.add_argument("--store-procid", action="store_true")
     arguments = parser.parse_args(argv)
     if arguments.mode != "batch" and not arguments.checkpoint:
@@ -40,17 +43,19 @@ def main(argv: list[str] | None = None) -> int | None:
     spark = get_session("log intake")
     max_wait = dt.timedelta(seconds=a.max_wait)
     options = {"store_procid": a.store_procid}
+    clean = {"clean_source": a.clean_source, "archive": a.archive}
     if a.mode == "batch":
         started = time.monotonic()
         while True:
             waited = dt.timedelta(seconds=time.monotonic() - started)
             number = dispatch(
-                spark, a.spool, a.tables, a.min_logs, max_wait, waited, a.partitioned, **options
+                spark, a.spool, a.tables, a.checkpoint, a.min_logs, max_wait, waited, a.partitioned,
+                max_files=a.max_files, **clean, **options,
             )
             if number is not None or waited >= max_wait:
                 return number
             time.sleep(min(1.0, a.max_wait))
-    lines = stream_spool(spark, a.spool, a.partitioned, a.max_files)
+    lines = stream_spool(spark, a.spool, a.partitioned, a.max_files, **clean)
     ingest_stream(
         lines, a.tables, a.checkpoint,
         max_wait=max_wait if a.mode == "stream" else None, **options,

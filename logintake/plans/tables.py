@@ -58,7 +58,7 @@ class ParquetWriter:
         if self.batch_id is None:
             return
         listed = f"{self.root}/{ATTEMPTS}/batch_id={self.batch_id}"
-        known = _read(spark, listed, "table string")
+        known = read_folder(spark, listed, "table string")
         earlier = set() if known is None else {r[0] for r in known.collect()}
         both = sorted({*tables, *earlier})
         spark.createDataFrame([(t,) for t in both], "table string").coalesce(1).write.mode(
@@ -86,7 +86,7 @@ def parquet_writer(root: str, batch_id: str | int | None = None) -> Writer:
     return ParquetWriter(root, batch_id)
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+def read_folder(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The rows of a folder, or None if there is none."""
     try:
         return spark.read.schema(schema).parquet(path)

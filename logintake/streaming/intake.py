@@ -14,6 +14,9 @@ from logintake.operators.route import Processor, Processors
 from logintake.plans.intake import parse_lines
 from logintake.plans.tables import INGEST_TIME, Writer, parquet_writer, write_tables
 
+# Beside the tables: the files that each batch has read.
+FILES = "_files"
+
 
 def trigger(max_wait: dt.timedelta | None) -> dict:
     """Trigger options: a batch at most every ``max_wait``; all there is, once,
@@ -33,6 +36,7 @@ def ingest_stream(
     ingest_time: Column | None = None,
     writer: Callable[[str, int], Writer] = parquet_writer,
     col: str = "value",
+    names: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Start the stream that parses, quarantines, routes and writes ``lines``.
@@ -41,15 +45,23 @@ def ingest_stream(
     it is repeated, so a failure leaves no duplicates. Unless given, ``ref_time``
     and ``ingest_time`` are the time of the micro-batch, which a repetition
     keeps. Counts of lines and errors appear in the progress of the stream.
+    With ``names``, the values of that column in each batch are written to a table of
+    their own, after the others.
     """
-    parsed = parse_lines(lines.select(col), col, ref_time, **options)
+    parsed = parse_lines(lines.select(col, *([names] if names else [])), col, ref_time, **options)
     when = F.current_timestamp() if ingest_time is None else ingest_time
     parsed = observed(parsed.withColumn(INGEST_TIME, when), "intake")
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        write_tables(
-            batch, writer(root, batch_id), chain, F.col(INGEST_TIME), keep="cache"
-        )
+        batch = batch.persist()
+        try:
+            rows = batch.drop(names) if names else batch
+            write_tables(rows, writer(root, batch_id), chain, F.col(INGEST_TIME), keep="none")
+            if names:
+                read = batch.select(names).distinct()
+                read.write.mode("overwrite").parquet(f"{root}/{FILES}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         parsed.writeStream.foreachBatch(take)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logintake.functions.codec import unescape
 from logintake.operators.route import Processor, Processors
 from logintake.plans import intake as plan
+from logintake.plans.dispatch import dispatch
 from logintake.plans.tables import jdbc_writer, parquet_writer, read_table, write_tables
 from logintake.sources.spool import list_spool, read_spool, stream_spool, write_spool
 from logintake.streaming.chunks import chunk_stream
@@ -148,54 +149,56 @@ def test_database_writer_needs_a_driver(spark):
 def test_dispatch_takes_each_file_once(spark, tmp_path):
     spool, root = tmp_path / "spool", str(tmp_path / "tables")
     spool.mkdir()
-    for n in range(6):
-        spool_file(spool, 10 * n, [message(10 * n + i) for i in range(10)])
-    run = lambda **kw: plan.dispatch(spark, str(spool), root, min_logs=25, ref_time=REF, **kw)
+    for n in range(3):
+        spool_file(spool, 10 * n + 10, [message(10 * n + i) for i in range(10)])
+    run = lambda **kw: dispatch(spark, str(spool), root, min_logs=25, ref_time=REF, **kw)
     table = lambda: sorted(r.pid for r in read_table(spark, root, "syslog").collect())
-    assert run() == 0
-    assert table() == list(range(30))
+    assert run() == 0 and table() == list(range(30))
+    assert run() is None
     # A file that sorts before the ones taken is not forgotten.
-    spool_file(spool, 5, [message(100)])
-    assert run() == 1
-    assert table() == [*range(50), 100] or table() == [*range(60), 100]
-    while run() is not None:
-        pass
-    assert table() == [*range(60), 100]
+    spool_file(spool, 5, [message(100), "bad"])
+    assert run() == 1 and table() == [*range(30), 100]
+    assert run() is None and read_table(spark, root, "errors").count() == 1
 
 
 def test_dispatch_waits_for_lines(spark, tmp_path):
     spool, root = tmp_path / "spool", str(tmp_path / "tables")
     spool.mkdir()
     spool_file(spool, 1, [message(1)])
-    run = lambda s: plan.dispatch(
+    run = lambda s: dispatch(
         spark, str(spool), root, min_logs=25, waited=dt.timedelta(seconds=s), ref_time=REF
     )
     assert run(3) is None
     assert run(10) == 0
     assert run(20) is None
+    # Few lines wait again; with more of them no time has to pass.
+    spool_file(spool, 2, [message(n) for n in range(24)])
+    assert run(3) is None
+    spool_file(spool, 3, [message(1)])
+    assert run(3) == 1
+
 
+def test_broken_dispatch_is_taken_up(spark, tmp_path, monkeypatch):
+    from logintake.streaming import intake as streaming
 
-def test_broken_dispatch_is_repeated(spark, tmp_path, monkeypatch):
     spool, root = tmp_path / "spool", str(tmp_path / "tables")
     spool.mkdir()
     spool_file(spool, 5, [message(1), "bad"])
-    whole = plan.intake
+    whole = streaming.write_tables
 
     def breaks(*args, **options):
         whole(*args, **options)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(plan, "intake", breaks)
-    with pytest.raises(RuntimeError):
-        plan.dispatch(spark, str(spool), root, min_logs=1, ref_time=REF)
-    monkeypatch.setattr(plan, "intake", whole)
-    # New files wait until the broken batch is complete.
+    monkeypatch.setattr(streaming, "write_tables", breaks)
+    with pytest.raises(Exception, match="lost"):
+        dispatch(spark, str(spool), root, min_logs=1, ref_time=REF)
+    monkeypatch.setattr(streaming, "write_tables", whole)
     spool_file(spool, 1, [message(2)])
-    assert plan.dispatch(spark, str(spool), root, min_logs=1, ref_time=REF) == 0
-    assert read_table(spark, root, "syslog").count() == 1
-    assert plan.dispatch(spark, str(spool), root, min_logs=1, ref_time=REF) == 1
+    assert dispatch(spark, str(spool), root, min_logs=1, ref_time=REF) == 1
     assert read_table(spark, root, "syslog").count() == 2
     assert read_table(spark, root, "errors").count() == 1
+    assert dispatch(spark, str(spool), root, min_logs=1, ref_time=REF) is None
 
 
 def start_ingest(spark, tmp_path, **options):

@@ -361,6 +361,7 @@ UNION ALL SELECT 'urgent', count(*) FROM messages WHERE severity = 0
 UNION ALL SELECT 'syslog', count(*) FROM messages WHERE severity <> 0""",
     "intake_batch": MESSAGE_ROWS,
     "intake_dispatch": ERROR_ROWS,
+    "intake_gated": f"SELECT *, 'None 0 None' AS batches FROM ({ERROR_ROWS})",
     "intake_replay": f"""{ROUTED},
 stored AS (
   SELECT 'errors' AS "table", TIMESTAMP '2024-06-01 12:00:00' AS date

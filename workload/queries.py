@@ -23,7 +23,8 @@ from logintake.operators.route import (
     rule_filter,
     valid_messages,
 )
-from logintake.plans.intake import dispatch, intake, parse_lines
+from logintake.plans.dispatch import dispatch
+from logintake.plans.intake import intake, parse_lines
 from logintake.plans.tables import by_day, parquet_writer, read_table, write_tables
 from logintake.session import shared_folder
 from logintake.sources.spool import (
@@ -361,7 +362,19 @@ def unique_stamps_global(spark, sf_dir):
 # Files, tables and streams
 
 
+# Spools that are already there, by session and tables.
+_SPOOLS: dict[tuple[str, str], str] = {}
+
+
+def keep_spool(spark, sf_dir) -> None:
+    """Write the spool of these tables now; queries of this session read that one."""
+    _SPOOLS[spark.sparkContext.applicationId, sf_dir] = _spool(spark, sf_dir)
+
+
 def _spool(spark, sf_dir) -> str:
+    kept = _SPOOLS.get((spark.sparkContext.applicationId, sf_dir))
+    if kept is not None:
+        return kept
     path = shared_folder(spark)
     lines = mixed_lines(spark, sf_dir, "ts", "event_type")
     write_spool(lines, path, "event_type", "ts", "line", "event_id", GAP, SPOOL_CAP)
@@ -421,13 +434,28 @@ def intake_dispatch(spark, sf_dir):
     spool = _spool(spark, sf_dir)
     size = spark.read.parquet(f"{sf_dir}/events.parquet").count() // 3 + 1
     while dispatch(
-        spark, spool, root, size, partitioned=True, ref_time=REF_TIME,
+        spark, spool, root, min_logs=size, partitioned=True, ref_time=REF_TIME,
         ingest_time=_ingest_time(),
     ) is not None:
         pass
     return _naive(read_table(spark, root, "errors").select("date", "data"))
 
 
+def intake_gated(spark, sf_dir):
+    """Nothing is taken in while too few lines wait, and all of them once there are enough."""
+    root, spool = shared_folder(spark), _spool(spark, sf_dir)
+    size = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    common = dict(
+        partitioned=True, ref_time=REF_TIME, ingest_time=_ingest_time(), waited=dt.timedelta(0)
+    )
+    first = dispatch(spark, spool, root, min_logs=size + 1, **common)
+    second = dispatch(spark, spool, root, min_logs=size, **common)
+    third = dispatch(spark, spool, root, min_logs=1, **common)
+    return _naive(read_table(spark, root, "errors").select("date", "data")).withColumn(
+        "batches", F.lit(f"{first} {second} {third}")
+    )
+
+
 def intake_replay(spark, sf_dir):
     """The same batch twice; the second run replaces the first."""
     root = shared_folder(spark)
@@ -580,6 +608,7 @@ ALL = {
     "spool_audit": audit,
     "intake_batch": intake_batch,
     "intake_dispatch": intake_dispatch,
+    "intake_gated": intake_gated,
     "intake_replay": intake_replay,
     "write_shared_errors": write_shared_errors,
     "write_without_catch_all": write_without_catch_all,
