@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterable
@@ -20,7 +21,7 @@ LOWER[65:91] += 32
 BITMAP_BITS = 26
 
 # Text that a task works on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +126,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield batch.slice(lo, hi - lo)
             lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker serves many tasks, and what each
+    left behind would add up beside the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def filesystem(path: str):
