@@ -231,4 +231,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     t1, t2 = fresh(docs, "t1", "t2")
     found = written(leaks(docs, benchmark, text_col=text_col, **options).select("t1", "t2").distinct())
     keyed = docs.withColumns(dict(zip((t1, t2), text_key(text_col))))
-    return keyed.join(found.toDF(t1, t2), [t1, t2], "left_anti").drop(t1, t2)
+    # A merge at every size: what is found grows with the documents.
+    return keyed.join(found.toDF(t1, t2).hint("merge"), [t1, t2], "left_anti").drop(t1, t2)

@@ -347,4 +347,5 @@ def keep_one(
     roots = fingerprint_roots(nodes.select("fp"), radius, blocks, bucket_rows).join(nodes, "fp")
     stay = roots.groupBy("root").agg(F.min("first").alias("first"))
     stay = written(stay.select(F.col("first.row").alias(row)))
-    return kept.join(stay, row, "left_semi").drop(row, fp)
+    # A merge at every size: what stays grows with the documents.
+    return kept.join(stay.hint("merge"), row, "left_semi").drop(row, fp)
