@@ -108,7 +108,9 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    """The sample: documents that are drawn. The operator also tells of the others."""
+    drawn = importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return drawn.filter("kept")
 
 
 QUERIES = {
