@@ -202,13 +202,15 @@ def drop_repeated_chunks(
     keyed = docs.withColumns({
         k1: row_key(id_col, text_col)[0], k2: row_key(id_col, text_col)[1], whole: F.col(text_col).cast("string"),
     })
-    rows = keyed.join(removed.toDF(k1, k2, numbers), [k1, k2], "left").select(*names, whole, numbers)
+    others = [c for c in names if c != text_col]
+    # A merge at every size: what is removed grows with the documents.
+    gone = removed.toDF(k1, k2, numbers).hint("merge")
+    rows = keyed.drop(text_col).join(gone, [k1, k2], "left").select(*others, whole, numbers)
     schema = StructType([
         *(f for f in docs.schema.fields if f.name != text_col), docs.schema[text_col],
     ])
     for name in ("removed_chunks", "removed_lines") if counts else ():
         schema = schema.add(name, LongType())
-    others = [c for c in names if c != text_col]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, whole):
