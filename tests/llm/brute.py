@@ -163,16 +163,24 @@ def plain_words(text: str | None) -> list[str]:
 def overlaps(docs: list[tuple], items: list[tuple], window: int = 13, share: float = 0.8) -> set[tuple]:
     """op7: (doc_id, item_id) with a window of enough agreeing words, over all alignments."""
     found = set()
-    for d, text in docs:
-        words = plain_words(text)
-        for i, item in items:
-            other = plain_words(item)
-            size = min(window, len(other))
-            if len(other) < 8:
-                continue
-            for shift in range(-len(other) + 1, len(words)):
-                same = [0 <= shift + k < len(words) and words[shift + k] == w for k, w in enumerate(other)]
-                if any(sum(same[k : k + size]) >= share * size - 1e-9 for k in range(len(other) - size + 1)):
+    for i, item in items:
+        other = plain_words(item)
+        size = min(window, len(other))
+        if len(other) < 8:
+            continue
+        places = defaultdict(list)
+        for k, word in enumerate(other):
+            places[word].append(k)
+        for d, text in docs:
+            lines = defaultdict(list)
+            for at, word in enumerate(plain_words(text)):
+                for k in places.get(word, ()):
+                    lines[at - k].append(k)
+            for same in lines.values():
+                if len(same) >= share * size - 1e-9 and any(
+                    sum(lo <= k < lo + size for k in same) >= share * size - 1e-9
+                    for lo in range(len(other) - size + 1)
+                ):
                     found.add((d, i))
     return found
 
