@@ -148,7 +148,7 @@ def pack(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 33, capacity, windows, piece, slack, ids)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=tokens.SLICE_BYTES):
             flat, starts = tokens.encode(batch.column("text"), tokenizer, end_id)
             rows = []
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):

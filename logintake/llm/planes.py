@@ -188,7 +188,7 @@ def write_ids(
         file = new_name(f"ids-{part:06d}", ".planes")
 
         def encoded():
-            for batch in slices(batches):
+            for batch in slices(batches, limit=tokens.SLICE_BYTES):
                 ids, starts = tokens.encode(batch.column("text"), tokenizer, end_id)
                 yield batch.column("doc_id").to_pylist(), ids, starts
 

@@ -26,6 +26,11 @@ WIDE_SPACE = tuple(
 # Pieces encoded by one call.
 PIECES = 20_000
 
+# Text encoded at a time: the more, the fewer pieces are encoded again. A process also
+# keeps the ids of the first pieces it meets, which are the frequent ones, up to a number.
+SLICE_BYTES = 8 << 20
+KEPT = 400_000
+
 
 @functools.cache
 def tokenizer(path: str):
@@ -68,8 +73,25 @@ def _size(piece: bytes) -> int:
     """Bytes of the piece's ids, if the tokenizer lower-cases and drops white space."""
     if piece.isascii():
         return len(b"".join(piece.split()))
-    text = unicodedata.normalize("NFC", piece.decode())
-    return sum(len(c.lower().encode()) for c in text if not c.isspace())
+    return len("".join(unicodedata.normalize("NFC", piece.decode()).lower().split()).encode())
+
+
+@functools.cache
+def _kept(path: str) -> dict[bytes, np.ndarray]:
+    return {}
+
+
+def _known(pieces: list[bytes], path: str) -> list[np.ndarray]:
+    """Ids of each piece, from what the process keeps or by the tokenizer."""
+    kept = _kept(path)
+    out = list(map(kept.get, pieces))
+    missing = [i for i, ids in enumerate(out) if ids is None]
+    for i, ids in zip(missing, _encode([pieces[i] for i in missing], path)):
+        out[i] = ids
+        if len(kept) < KEPT and len(ids) < 16:
+            # A copy, so that the array it was cut from can go.
+            kept[pieces[i]] = ids.copy()
+    return out
 
 
 def _encode(pieces: list[bytes], path: str) -> list[np.ndarray]:
@@ -117,7 +139,7 @@ def encode(column: pa.Array, path: str, end_id: int | None = None) -> tuple[np.n
         pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
     ).dictionary_encode()
     codes = pieces.indices.to_numpy().astype(np.int64)
-    known = _encode(pieces.dictionary.to_pylist(), path)
+    known = _known(pieces.dictionary.to_pylist(), path)
     sizes = np.fromiter(map(len, known), np.int64, len(known))
     flat = np.concatenate([*known, np.zeros(0, np.uint32)])
     where = np.cumsum(sizes) - sizes
@@ -131,5 +153,6 @@ def encode(column: pa.Array, path: str, end_id: int | None = None) -> tuple[np.n
         flat = np.append(flat, np.uint32(end_id))
     each = sizes[codes]
     ends = np.cumsum(each)
-    ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(where[codes] - (ends - each), each)]
-    return ids, np.concatenate(([0], ends))[first]
+    place = np.repeat((where[codes] - (ends - each)).astype(np.int32), each)
+    place += np.arange(len(place), dtype=np.int32)
+    return flat[place], np.concatenate(([0], ends))[first]
