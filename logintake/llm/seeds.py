@@ -3,7 +3,8 @@
 A seed is a fixed mask of words: some positions count, the others are ignored, so one
 substituted word does not hide all matches around it. Hashes of the seeds of benchmark
 items and documents are joined, and around each hit the words are compared along the
-same alignment: an overlap is a window in which enough words agree.
+same alignment: an overlap is a window in which enough words agree. Items shorter than a
+window have masks of their own, made of blocks of words.
 
 Documents are scanned once, against a filter of fixed size made of the benchmark's
 hashes, so only stretches around possible hits are moved, whatever the benchmark's size.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import math
 import string
 from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from logintake.session import written
 MASKS = ("11010011", "1101011")
 WINDOW = 13
 SIMILARITY = 0.8
+# Words from the first seed of a stretch to its last one at most.
+STRETCH = 512
 SEED = 42
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PUNCTUATION = np.zeros(256, bool)
@@ -40,6 +44,30 @@ SEGMENT = (
 )
 
 
+def agreeing(size: int, similarity: float) -> int:
+    """Words that agree at least in an overlap of so many."""
+    return math.ceil(similarity * size - 1e-9)
+
+
+def masks_for(size: int, similarity: float) -> tuple[str, ...]:
+    """Masks of which one fits wherever enough of so many words agree.
+
+    Shorter windows than 13 words are cut into two blocks more than words may differ, and
+    each mask is two of the blocks, or the whole where no word may differ.
+    """
+    differ = size - agreeing(size, similarity)
+    if size >= WINDOW and differ <= 2:
+        return MASKS
+    if size <= differ:
+        return ()
+    parts = np.array_split(np.arange(size), min(differ + 2, size) if differ else 1)
+    out = set()
+    for blocks in combinations(parts, max(1, len(parts) - differ)):
+        on = {int(i) for block in blocks for i in block}
+        out.add("".join("01"[i in on] for i in range(min(on), max(on) + 1)))
+    return tuple(sorted(out))
+
+
 def seeds(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     """The seed's hash at each position where the mask fits into all the words."""
     size = max(0, len(hashes) - len(mask) + 1)
@@ -58,17 +86,24 @@ def _hashed(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.n
     return words, codes, starts, known[codes] if len(words) else np.zeros(0, np.uint64)
 
 
-def _seeds_of(hashes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
+def _seeds_of(
+    hashes: np.ndarray, starts: np.ndarray, masks: dict[int, str]
+) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
     """Number, mask, positions and hashes of all seeds that lie within one value."""
     ends = np.repeat(starts[1:], np.diff(starts))
-    for number, mask in enumerate(MASKS):
+    for number, mask in masks.items():
         found = seeds(hashes, mask, number)
         at = np.flatnonzero(np.arange(len(found)) + len(mask) <= ends[: len(found)])
         yield number, mask, at, found[at]
 
 
-def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Items with their words, and their seeds ``item_id, h, mask, item_at``, written."""
+def benchmark_seeds(
+    benchmark: DataFrame, id_col: str, text_col: str, window: int, similarity: float
+) -> tuple[DataFrame, DataFrame, dict[int, str]]:
+    """Items with their words, their seeds ``item_id, h, mask, item_at``, written, and the
+    masks by their numbers."""
+    of_size = {size: masks_for(size, similarity) for size in range(1, window + 1)}
+    numbers = {mask: n for n, mask in enumerate(sorted({m for masks in of_size.values() for m in masks}))}
     rows = benchmark.select(
         F.col(id_col).cast("long").alias("item_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -78,8 +113,14 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[D
         for batch in slices(batches):
             words, codes, starts, hashes = _hashed(batch.column("text"))
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for number, _, at, found in _seeds_of(hashes, starts):
+            sizes = np.minimum(np.diff(starts), window)
+            here = [size for size in np.unique(sizes).tolist() if size]
+            masks = {numbers[mask]: mask for size in here for mask in of_size[size]}
+            for number, mask, at, found in _seeds_of(hashes, starts, masks):
                 doc = np.searchsorted(starts, at, "right") - 1
+                # An item has the masks of its own size only.
+                mine = np.isin(sizes[doc], [size for size in here if mask in of_size[size]])
+                at, found, doc = at[mine], found[mine], doc[mine]
                 own = (at - starts[doc]).tolist()
                 for d, a, h in zip(doc.tolist(), own, found.view(np.int64).tolist()):
                     hits[d].append({"at": a, "mask": number, "h": h})
@@ -100,15 +141,18 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[D
     found = items.select("item", F.explode("hits").alias("hit")).select(
         "item", F.col("hit.h").alias("h"), F.col("hit.mask").alias("mask"), F.col("hit.at").alias("item_at")
     )
-    return items.drop("hits"), written(found)
+    found = written(found)
+    used = {r.mask for r in found.select("mask").distinct().collect()}
+    return items.drop("hits"), found, {n: mask for mask, n in numbers.items() if n in used}
 
 
 def _hits_type() -> pa.DataType:
     return pa.list_(pa.struct([("at", pa.int64()), ("mask", pa.int32()), ("h", pa.int64())]))
 
 
-def _segments(docs: DataFrame, filter_bits: np.ndarray, window: int) -> DataFrame:
-    """Stretches of documents around seeds that the filter lets through."""
+def _segments(docs: DataFrame, filter_bits: np.ndarray, known_masks: dict[int, str], window: int) -> DataFrame:
+    """Stretches of documents around seeds that the filter lets through, none much longer
+    than ``STRETCH``."""
     broadcast = docs.sparkSession.sparkContext.broadcast(filter_bits)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +160,8 @@ def _segments(docs: DataFrame, filter_bits: np.ndarray, window: int) -> DataFram
         number = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             words, codes, starts, hashes = _hashed(batch.column("text"))
-            places, masks, values, stops = [], [], [], []
-            for n, mask, at, found in _seeds_of(hashes, starts):
+            places, masks, values, stops = ([np.zeros(0, t)] for t in (np.int64, np.int64, np.uint64, np.int64))
+            for n, mask, at, found in _seeds_of(hashes, starts, known_masks):
                 hit = np.flatnonzero(in_bitmap(bits, found))
                 places.append(at[hit])
                 values.append(found[hit])
@@ -129,6 +173,9 @@ def _segments(docs: DataFrame, filter_bits: np.ndarray, window: int) -> DataFram
             reach = np.maximum.accumulate(stop) if len(stop) else stop
             new = np.ones(len(place), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - reach[:-1] > 2 * window)
+            head = np.maximum.accumulate(np.where(new, np.arange(len(place)), 0))
+            part = (place - place[head]) // STRETCH
+            new[1:] |= part[1:] != part[:-1]
             cut = np.append(np.flatnonzero(new), len(place)).tolist()
             ids = {c: batch.column(c).to_pylist() for c in ("doc_id", "t1", "t2")} if len(place) else {}
             rows = []
@@ -178,14 +225,15 @@ def leaks(
 
     Words are lower-cased and lose their ASCII punctuation. An overlap is a window of
     ``window`` words, or of the whole item if it is shorter, of which at least the share
-    ``similarity`` agree along one alignment, around a common seed. ``matches`` is the most
-    there are. An item of fewer words than a seed overlaps with nothing; nulls are empty
-    texts. Null ids stay null. Rows with the same id and text give one row.
+    ``similarity`` agree along one alignment. ``matches`` is the most there are. Each such
+    window holds a common seed, whatever the item's length. An item without words overlaps
+    with nothing; nulls are empty texts. Null ids stay null. Rows with the same id and text give one row.
     """
-    items, known = benchmark_seeds(benchmark, item_col, item_text_col)
+    items, known, masks = benchmark_seeds(benchmark, item_col, item_text_col, window, similarity)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    segments = _segments(rows.withColumns(dict(zip(("t1", "t2"), text_key("text")))), bitmap(known, "h"), window)
+    keyed = rows.withColumns(dict(zip(("t1", "t2"), text_key("text"))))
+    segments = _segments(keyed, bitmap(known, "h"), masks, window)
     hits = segments.select("segment", F.explode("hits").alias("hit")).select("segment", "hit.*")
     # Written, so that the joins can split a passage that many documents share.
     lines = written(
@@ -202,7 +250,7 @@ def leaks(
                 matches, size = best_window(
                     row["words"], row["item_words"], row["first"] - row["diagonal"], window
                 )
-                if matches >= math.ceil(similarity * size - 1e-9):
+                if matches >= agreeing(size, similarity):
                     out.append({c: row[c] for c in ("doc_id", "t1", "t2", "item_id")} | {
                         "matches": matches, "window": size,
                     })
