@@ -53,7 +53,6 @@ class Chunks:
         divisor: int = DIVISOR, long_line: int = LONG_LINE, passage: int = PASSAGE,
     ) -> None:
         data, starts = bytes_of(column)
-        self.data = np.ascontiguousarray(data)
         # A line begins at each start of a text and behind each newline within it.
         at = np.flatnonzero(data == 10) + 1
         begin = np.concatenate([starts[:-1], at])
@@ -68,10 +67,11 @@ class Chunks:
         first[1:] &= ~solid[:-1]
         heads = starts[:-1][starts[:-1] < starts[1:]]
         first[heads] = solid[heads]
-        words = np.concatenate(([0], np.cumsum(first)))
-        n_words = words[end] - words[begin]
+        words = np.flatnonzero(first)
+        n_words = np.searchsorted(words, end) - np.searchsorted(words, begin)
+        del solid, first, words
 
-        self.raw, digest = self.data.tobytes(), xxhash.xxh64_intdigest
+        self.raw, digest = data.tobytes(), xxhash.xxh64_intdigest
         raw = self.raw
         hashes = np.fromiter(
             (digest(raw[a:b], SEED) for a, b in zip(begin.tolist(), end.tolist())), np.uint64, len(begin)
@@ -97,12 +97,12 @@ class Chunks:
         cut = np.array(cut, np.int64)
         head = np.concatenate(([0], cut[:-1])) if len(cut) else cut
         self.head, self.stop, self.lines = head, cut, cut - head
-        held = words[end[cut - 1]] - words[begin[head]]
+        self.held = np.concatenate(([0], np.cumsum(n_words)))
+        held = self.held[cut] - self.held[head]
         self.removable = (held > 0) & ((self.lines > 1) | (held >= long_line))
         # The lines: their text, its first one, and their bytes.
         self.doc, self.begin, self.end, self.passage = doc, begin, end, passage
         self.first = np.searchsorted(doc, doc)
-        self.held = np.concatenate(([0], np.cumsum(n_words)))
 
     def forward(self) -> tuple[np.ndarray, np.ndarray]:
         """First line and end of the shortest passage from each line with a word, if any."""
