@@ -22,7 +22,6 @@ def encoded(text: str | None, path: str, end_id: int) -> list[int]:
     known = encoded.__dict__.setdefault("known", {})
     if path not in known:
         known[path] = Tokenizer.from_file(path)
-        known[path].encode_special_tokens = True
     return [*known[path].encode(text or "", add_special_tokens=False).ids, end_id]
 
 

@@ -21,7 +21,7 @@ DOCS = "doc_id long, text string"
 PIECES = [
     " ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", " ", "　", " ", "\x1c", "a", "Ab", "it's", "don't",
     "'s", "1", "23", ".", ",,", "é", "é", "́", "Σ", "ΑΣ", "İ", "ﬁ", "日本", "👍🏽", "​", "﻿",
-    "<|endoftext|>", "</w>", "<|startoftext|>", "\x00",
+    "<|endoftext|>", "</w>", "<|startoftext|>", "\x00", "<|endof", "text|>", "é<|endoftext|>.", "(", "a.b,c",
 ]
 
 
