@@ -134,10 +134,36 @@ FROM (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS di
 WINDOW same AS (PARTITION BY html)
 """
 
+OP11 = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+         sha256(concat('1:', doc_id)) AS h
+  FROM documents),
+numbers AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+cut AS (
+  SELECT doc_id, n, form, text, least(a, b) AS lo, greatest(a, b) AS hi,
+         substring(text, 1, least(a, b)) AS prefix,
+         substring(text, least(a, b) + 1, greatest(a, b) - least(a, b)) AS middle,
+         substring(text, greatest(a, b) + 1) AS suffix
+  FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN lo END AS prefix_chars,
+       CASE WHEN form != 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
 ORACLE = {
     "op1_secret_ownership": OP1,
     "op2_preference_turns": OP2,
     "op5_block_naming": OP5,
     "op7_spaced_seeds": OP7,
     "op8_capture_index": OP8,
+    "op11_fenwick_infill": OP11,
 }

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logintake.llm.backtrack import encode_texts
 from logintake.llm.blocks import exact_duplicates
 from logintake.llm.importance import importance_sample
+from logintake.llm.infill import fill_in_middle
 from logintake.llm.lines import drop_repeated_chunks
 from logintake.llm.packing import pack
 from logintake.llm.planes import read_ids, write_ids
@@ -113,6 +115,15 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.filter("kept")
 
 
+def op11_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(read(spark, sf_dir, "documents"), text=False)
+
+
+def op13_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return encode_texts(docs, tokenizer_file("word_bpe_49k.json"), ids=False, text=False)
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_preference_turns": op2_preference_turns,
@@ -124,4 +135,6 @@ QUERIES = {
     "op8_capture_index": op8_capture_index,
     "op9_bit_planes": op9_bit_planes,
     "op10_importance": op10_importance,
+    "op11_fenwick_infill": op11_fenwick_infill,
+    "op13_backtracking_bpe": op13_backtracking_bpe,
 }
