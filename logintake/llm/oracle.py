@@ -159,6 +159,43 @@ SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN lo END AS prefix_chars,
 FROM cut
 """
 
+OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+each AS (SELECT doc, lang, source, unnest(words) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS total FROM each GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+counted AS (
+  SELECT lang, source, term, count(*) AS n FROM each SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+parts AS (
+  SELECT lang, source, coalesce(n, 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counted GROUP BY ALL) USING (lang, source)),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(total) AS n FROM kept GROUP BY lang),
+shares AS (
+  SELECT parts.lang, parts.source, kept.term, coalesce(counted.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(counted.n, 0) + 5)) // (parts.n + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (total + 5)) // (langs.n + 5 * v) AS q
+  FROM parts JOIN langs USING (lang) JOIN kept ON kept.lang = parts.lang
+  LEFT JOIN counted ON counted.lang = parts.lang AND counted.source = parts.source AND counted.term = kept.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM parts a JOIN parts b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM every
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op1_secret_ownership": OP1,
     "op2_preference_turns": OP2,
@@ -166,4 +203,5 @@ ORACLE = {
     "op7_spaced_seeds": OP7,
     "op8_capture_index": OP8,
     "op11_fenwick_infill": OP11,
+    "op12_source_divergence": OP12,
 }

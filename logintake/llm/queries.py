@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logintake.llm.backtrack import encode_texts
 from logintake.llm.blocks import exact_duplicates
 from logintake.llm.importance import importance_sample
+from logintake.llm.divergence import source_divergence
 from logintake.llm.infill import fill_in_middle
 from logintake.llm.lines import drop_repeated_chunks
 from logintake.llm.packing import pack
@@ -119,6 +120,10 @@ def op11_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle(read(spark, sf_dir, "documents"), text=False)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read(spark, sf_dir, "documents"))
+
+
 def op13_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return encode_texts(docs, tokenizer_file("word_bpe_49k.json"), ids=False, text=False)
@@ -136,5 +141,6 @@ QUERIES = {
     "op9_bit_planes": op9_bit_planes,
     "op10_importance": op10_importance,
     "op11_fenwick_infill": op11_fenwick_infill,
+    "op12_source_divergence": op12_source_divergence,
     "op13_backtracking_bpe": op13_backtracking_bpe,
 }

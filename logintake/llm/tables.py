@@ -68,18 +68,19 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(
-    column: pa.Array, lower: bool = True, dropped: np.ndarray | None = None
+    column: pa.Array, lower: bool = True, dropped: np.ndarray | None = None, apart: np.ndarray = SPACE
 ) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each value: the distinct ones, the number of
     each word among them, and where each value's words start (with the end).
 
     A-Z become a-z if ``lower``. Bytes of the table ``dropped`` are taken out of words,
-    and a word of such bytes alone is none. Works on whole columns of bytes at once.
+    and a word of such bytes alone is none. Bytes of the table ``apart`` stand between words.
+    Works on whole columns of bytes at once.
     """
     data, starts = bytes_of(column)
     if lower:
         data = LOWER[data]
-    solid = ~SPACE[data]
+    solid = ~apart[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     begins = starts[:-1][starts[:-1] < starts[1:]]
