@@ -309,8 +309,13 @@ def drop_repeated_chunks(
     empty, and a null text stays null. Lines are cut at ``\\n`` and joined by it again; a
     text in which nothing is repeated stays as it is, byte by byte.
 
-    ``options`` are those of ``Chunks``. With ``counts`` the columns ``removed_chunks`` and
-    ``removed_lines`` are added: repeated chunks, and lines in chunks or passages.
+    What goes is decided for each chunk and passage by itself. So the first copy of a long
+    passage can lose a part that stands earlier still: of "A B", "B C" and "B C", in this
+    order, "A B", "C" and nothing are left. Each line is left somewhere, and no passage twice.
+
+    ``options`` are those of ``Chunks``. With ``counts`` two columns are added at the end,
+    repeated chunks, and lines in chunks or passages: ``removed_chunks`` and
+    ``removed_lines``, with underscores in front where ``docs`` has such columns.
     """
     removed = repeated_runs(docs, id_col, text_col, digests, **options)
     k1, k2, numbers, whole = fresh(docs, "k1", "k2", "numbers", "whole")
@@ -325,7 +330,8 @@ def drop_repeated_chunks(
     schema = StructType([
         *(f for f in docs.schema.fields if f.name != text_col), docs.schema[text_col],
     ])
-    for name in ("removed_chunks", "removed_lines") if counts else ():
+    counted = fresh(docs, "removed_chunks", "removed_lines") if counts else []
+    for name in counted:
         schema = schema.add(name, LongType())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,4 +358,4 @@ def drop_repeated_chunks(
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     out = rows.mapInArrow(run, schema)
-    return out.select(*names, *(["removed_chunks", "removed_lines"] if counts else []))
+    return out.select(*names, *counted)

@@ -60,14 +60,14 @@ sides AS (
   SELECT 'chosen' AS side, conv_id, turn, role, text FROM conversations
   UNION ALL
   SELECT 'rejected', c.conv_id, turn, role, text FROM conversations c JOIN lasts USING (conv_id)
-  WHERE last IS NULL OR turn < last
+  WHERE last IS NULL OR turn IS NULL OR turn < last
   UNION ALL
   SELECT 'rejected', m.conv_id, coalesce(m.last, 1099511627776), c.role, c.text
   FROM conversations c JOIN lasts l USING (conv_id) JOIN lasts m ON m.conv_id = xor(c.conv_id, 1)
   WHERE c.role = 'assistant' AND c.turn = l.last),
 placed AS (
   SELECT side, conv_id, role, text,
-         row_number() OVER (PARTITION BY side, conv_id ORDER BY turn) - 1 AS number
+         row_number() OVER (PARTITION BY side, conv_id ORDER BY turn NULLS FIRST) - 1 AS number
   FROM sides),
 differs AS (
   SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.number, b.number) AS number

@@ -61,7 +61,8 @@ def preference_sides(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Written, so that the joins can split a long conversation.
     last = written(turns.groupBy("pair_id").agg(last))
     marked = turns.join(last, "pair_id")
-    before = marked.filter(F.col("last").isNull() | (F.col("turn") < F.col("last")))
+    earlier = F.col("turn").isNull() | (F.col("turn") < F.col("last"))
+    before = marked.filter(F.col("last").isNull() | earlier)
     answers = marked.filter((F.col("role") == "assistant") & (F.col("turn") == F.col("last")))
     answers = answers.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), "role", "text")
     # Behind all turns where the conversation has no answer of its own.
@@ -80,7 +81,8 @@ def op3_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = drop_repeated_chunks(read(spark, sf_dir, "documents"), counts=True)
-    return cleaned.select("doc_id", "text", "removed_chunks", "removed_lines")
+    chunks, lines = cleaned.columns[-2:]
+    return cleaned.select("doc_id", "text", F.col(chunks).alias("removed_chunks"), F.col(lines).alias("removed_lines"))
 
 
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,9 +113,8 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample: documents that are drawn. The operator also tells of the others."""
-    drawn = importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return drawn.filter("kept")
+    """Weight and key of every document, and whether it is drawn."""
+    return importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op11_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:

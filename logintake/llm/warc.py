@@ -324,8 +324,12 @@ def find_captures(spark: SparkSession, folder: str, keys: DataFrame) -> DataFram
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
     """The records at the captures: ``page_id, url, record_type, payload_bytes,
     payload_digest, refers_to``. Neighbours in an archive are read together."""
-    near = captures.select("file", "offset", "length").repartition(
-        "file", F.expr(f"offset div {STRETCH_BYTES}")
+    captures = written(captures.select("file", "offset", "length"))
+    # By the bytes to read: rows of the index alone would all fit into one task.
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    cores = captures.sparkSession.sparkContext.defaultParallelism
+    near = captures.repartition(
+        max(cores, -(-size // STRETCH_BYTES)), "file", F.expr(f"offset div {STRETCH_BYTES}")
     )
 
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -153,6 +153,52 @@ def without_repeats(docs: list[tuple], **options) -> dict[tuple, str]:
     return out
 
 
+def n_words(line: str) -> int:
+    return len(line.encode().split())
+
+
+def repeated_lines(docs: list[tuple], least: int = 50) -> dict[tuple, set]:
+    """The lines of each document that lie in a stretch of ``least`` words which equals an
+    earlier one, extended line by line from each pair of equal lines with a word."""
+    docs = sorted(set(docs), key=lambda d: (d[0] is None, d[0]))
+    cut = [(d[1] or "").split("\n") for d in docs]
+    places, gone = defaultdict(list), defaultdict(set)
+    for d, lines in enumerate(cut):
+        for q, line in enumerate(lines):
+            if not n_words(line):
+                continue
+            for e, p in places[line]:
+                if p and q and cut[e][p - 1] == lines[q - 1] and n_words(lines[q - 1]):
+                    continue
+                size = 0
+                while p + size < len(cut[e]) and q + size < len(lines) and cut[e][p + size] == lines[q + size]:
+                    size += 1
+                while not n_words(lines[q + size - 1]):
+                    size -= 1
+                words = np.cumsum([n_words(x) for x in lines[q : q + size]])
+                if words[-1] >= least:
+                    # Where the two overlap, the first passage stays.
+                    kept = p + 1 + int(np.searchsorted(words, least)) if e == d else 0
+                    gone[docs[d]] |= set(range(max(q, kept), q + size))
+            places[line].append((d, q))
+    return gone
+
+
+def without_stretches(docs: list[tuple]) -> dict[tuple, str]:
+    """op4: what neither the chunks nor the stretches take from each (doc_id, text)."""
+    stretches, first = repeated_lines(docs), {}
+    out = {}
+    for d in sorted(set(docs), key=lambda d: (d[0] is None, d[0])):
+        gone, at = set(stretches[d]), 0
+        for part in chunks(d[1] or ""):
+            words = n_words("\n".join(part))
+            if words and (len(part) > 1 or words >= 50) and first.setdefault("\n".join(part), (d, at)) != (d, at):
+                gone |= set(range(at, at + len(part)))
+            at += len(part)
+        out[d] = "\n".join(x for n, x in enumerate((d[1] or "").split("\n")) if n not in gone)
+    return out
+
+
 def plain_words(text: str | None) -> list[str]:
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     kept = re.sub(r"[!-/:-@\[-`{-~]", "", lower)
@@ -165,7 +211,7 @@ def overlaps(docs: list[tuple], items: list[tuple], window: int = 13, share: flo
     for i, item in items:
         other = plain_words(item)
         size = min(window, len(other))
-        if len(other) < 8:
+        if not other:
             continue
         places = defaultdict(list)
         for k, word in enumerate(other):
@@ -202,3 +248,63 @@ def preferences(chosen: list[tuple], rejected: list[tuple]) -> set[tuple]:
         out |= {(pair, "chosen", k, *t) for k, t in enumerate(one) if k >= n}
         out |= {(pair, "rejected", k, *t) for k, t in enumerate(other) if k >= n}
     return out
+
+
+def importance(docs: list[tuple], labels: list[tuple], buckets: int, sample: int = 100_000) -> list[tuple]:
+    """op10: weight, key and kept of each (doc_id, text), and k, from (doc_id, quality, toxic)."""
+    mix, whole = 0x9E3779B97F4A7C15, 2**64
+
+    def grams(text: str | None) -> tuple[list[int], int]:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode()
+        words = re.findall(b"[^\x20\x09-\x0d]+", lower)
+        hashes = [xxhash.xxh64_intdigest(w, 42) for w in words]
+        out = [h % buckets for h in hashes]
+        for w in words:
+            w = b" " + w + b" "
+            for i in range(len(w) - 3):
+                value = 0
+                for byte in w[i : i + 4]:
+                    value = (value * 257 + byte) % whole
+                out.append((value * mix % whole >> 20) % buckets + buckets)
+        for a, b in zip(hashes, hashes[1:]):
+            out.append((((a * mix + b) % whole * mix % whole) >> 17) % buckets + 2 * buckets)
+        return out, len(words)
+
+    good = defaultdict(lambda: True)
+    for i, quality, toxic in labels:
+        if i is not None:
+            good[i] &= quality == 1 and toxic == 0
+    seed = xxhash.xxh64_intdigest(np.int32(42).tobytes(), 42)
+    draw = {i: xxhash.xxh64_intdigest(np.int64(i).tobytes(), seed) for i in good}
+    order = sorted(good, key=lambda i: (draw[i] - whole * (draw[i] >> 63), i))[:sample]
+    fit, held = ({i for i in order if draw[i] % 2 == odd} for odd in (0, 1))
+    raw, target = np.zeros(3 * buckets), np.zeros(3 * buckets)
+    found = [grams(t) for _, t in docs]
+    for (i, _), (own, _) in zip(docs, found):
+        for g in own:
+            raw[g] += 1
+            target[g] += i in fit and good[i]
+    ratio = np.zeros(3 * buckets)
+    for part in range(3):
+        lo, hi = part * buckets, (part + 1) * buckets
+        share = target[lo:hi].sum() / max(1, raw[lo:hi].sum())
+        for g in range(lo, hi):
+            value = np.log((target[g] + 1) / (raw[g] * share + 1))
+            ratio[g] = value if value < -0.5 else 0
+    weights = [sum(ratio[g] for g in own) / max(1, n) for own, n in found]
+    judged = {}
+    for (i, _), w in zip(docs, weights):
+        if i in held:
+            judged[i] = min(judged.get(i, np.inf), w)
+    cut = -np.inf
+    if len({good[i] for i in judged}) == 2:
+        values = sorted(set(judged.values()))
+        cuts = [-np.inf, *((a + b) / 2 for a, b in zip(values, values[1:])), np.inf]
+        cut = min(cuts, key=lambda c: sum((w >= c) != good[i] for i, w in judged.items()))
+    keys = []
+    for (i, t), w in zip(docs, weights):
+        u = (xxhash.xxh64_intdigest(f"{i}:".encode() + (t or "").encode(), 42) + 0.5) / 2.0**64 * (1 - 1e-12) + 5e-13
+        keys.append(w / 0.01 - np.log(-np.log(u)))
+    k = sum(w >= cut for w in weights)
+    least = sorted(keys, reverse=True)[k - 1] if k else np.inf
+    return [(i, w, key, bool(key >= least)) for (i, _), w, key in zip(docs, weights, keys)], k

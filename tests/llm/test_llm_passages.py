@@ -16,52 +16,6 @@ DOCS = "doc_id long, text string"
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def n_words(line: str) -> int:
-    return len(line.encode().split())
-
-
-def repeated_lines(docs: list[tuple], least: int = 50) -> dict[tuple, set]:
-    """The lines of each document that lie in a stretch of ``least`` words which equals an
-    earlier one, extended line by line from each pair of equal lines with a word."""
-    docs = sorted(set(docs), key=lambda d: (d[0] is None, d[0]))
-    cut = [(d[1] or "").split("\n") for d in docs]
-    places, gone = defaultdict(list), defaultdict(set)
-    for d, lines in enumerate(cut):
-        for q, line in enumerate(lines):
-            if not n_words(line):
-                continue
-            for e, p in places[line]:
-                if p and q and cut[e][p - 1] == lines[q - 1] and n_words(lines[q - 1]):
-                    continue
-                size = 0
-                while p + size < len(cut[e]) and q + size < len(lines) and cut[e][p + size] == lines[q + size]:
-                    size += 1
-                while not n_words(lines[q + size - 1]):
-                    size -= 1
-                words = np.cumsum([n_words(x) for x in lines[q : q + size]])
-                if words[-1] >= least:
-                    # Where the two overlap, the first passage stays.
-                    kept = p + 1 + int(np.searchsorted(words, least)) if e == d else 0
-                    gone[docs[d]] |= set(range(max(q, kept), q + size))
-            places[line].append((d, q))
-    return gone
-
-
-def without_stretches(docs: list[tuple]) -> dict[tuple, str]:
-    """op4: what neither the chunks nor the stretches take from each (doc_id, text)."""
-    stretches, first = repeated_lines(docs), {}
-    out = {}
-    for d in sorted(set(docs), key=lambda d: (d[0] is None, d[0])):
-        gone, at = set(stretches[d]), 0
-        for part in brute.chunks(d[1] or ""):
-            words = n_words("\n".join(part))
-            if words and (len(part) > 1 or words >= 50) and first.setdefault("\n".join(part), (d, at)) != (d, at):
-                gone |= set(range(at, at + len(part)))
-            at += len(part)
-        out[d] = "\n".join(x for n, x in enumerate((d[1] or "").split("\n")) if n not in gone)
-    return out
-
-
 def planted(n: int = 60) -> list[tuple]:
     """Passages of 2 to 8 short lines, each in two documents between differing neighbours."""
     draw = random.Random(21)
@@ -88,7 +42,7 @@ def test_planted_passages(spark):
 def test_fewer_words_stay(spark):
     half = "\n".join(["a b c d e f g"] + ["h i j k l m n"] + ["o p q r s t u"])
     rows = [(1, f"one\n{half}\ntwo"), (2, f"three\n{half}\nfour")]
-    assert repeated_lines(rows) == {} and repeated_lines(rows, 21)[rows[1]] == {1, 2, 3}
+    assert brute.repeated_lines(rows) == {} and brute.repeated_lines(rows, 21)[rows[1]] == {1, 2, 3}
     got = drop_repeated_chunks(spark.createDataFrame(rows, DOCS), passage=21).collect()
     assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "three\nfour"}
 
@@ -114,7 +68,7 @@ def test_odd_stretches(spark, weak):
     rows = odd_corpus()
     docs = spark.createDataFrame(rows + rows[:9], DOCS).repartition(5)
     got = drop_repeated_chunks(docs, digests=colliding).collect()
-    want = without_stretches(rows)
+    want = brute.without_stretches(rows)
     assert len(got) == len(rows) + 9
     assert {r.doc_id: r.text for r in got} == {d[0]: None if d[1] is None else t for d, t in want.items()}
 
@@ -133,7 +87,7 @@ def test_run_hashes():
 
 def test_op4_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
-    want = without_stretches(docs)
+    want = brute.without_stretches(docs)
     got = QUERIES["op4_line_chunks"](spark, SF_DIR)
     assert {r.doc_id: r.text for r in got.collect()} == {d[0]: t for d, t in want.items()}
     assert got.agg(F.sum("removed_lines")).first()[0] > 0
