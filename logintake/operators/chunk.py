@@ -143,17 +143,17 @@ def spool_name(start_us, logs):
 
 
 def chunk_manifest(
-    chunked: DataFrame, key: str, ts: str, hot_rows: int | None = None
+    chunked: DataFrame, key: str, ts: str, hot_rows: int | None = None, after: int | None = None
 ) -> DataFrame:
     """One row per chunk: start time, line count and a file name.
 
     Names are unique in the whole table and sort by time: chunks that start in
-    the same microsecond get the next free one.
+    the same microsecond get the next free one. All lie behind the stamp ``after``.
     """
     chunks = chunked.groupBy(key, "session_start", "part").agg(
         F.min(ts).alias("start_ts"), F.count(F.lit(1)).alias("logs")
     )
     named = unique_micros(
-        chunks, "start_ts", order=[key, "part"], name="start_us", hot_rows=hot_rows
+        chunks, "start_ts", order=[key, "part"], name="start_us", hot_rows=hot_rows, after=after
     )
     return named.withColumn("file_name", spool_name(F.col("start_us"), F.col("logs")))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from logintake.operators.route import Processor, Processors
 from logintake.plans.tables import read_folder
-from logintake.sources.spool import NAME, list_spool, stream_spool
-from logintake.streaming.intake import FILES, ingest_stream
+from logintake.sources.spool import FILES, NAME, list_spool, stream_spool
+from logintake.streaming.intake import FILES as TAKEN
+from logintake.streaming.intake import ingest_stream
 
 
 def dispatch(
@@ -21,7 +22,7 @@ def dispatch(
     min_logs: int = 10_000,
     max_wait: dt.timedelta = dt.timedelta(seconds=10),
     waited: dt.timedelta | None = None,
-    partitioned: bool = False,
+    layout: str = FILES,
     chain: Processors | list[Processor] | None = None,
     max_files: int | None = None,
     clean_source: str = "off",
@@ -38,17 +39,17 @@ def dispatch(
     batch are a table beside the others, by which waiting lines are counted.
     ``clean_source`` retires files as in ``stream_spool``.
     """
-    waiting = list_spool(spark, spool, partitioned).select(NAME, "logs")
-    taken = read_folder(spark, f"{root}/{FILES}", f"{NAME} string")
+    waiting = list_spool(spark, spool, layout).select(NAME, "logs")
+    taken = read_folder(spark, f"{root}/{TAKEN}", f"{NAME} string")
     if taken is not None:
         waiting = waiting.join(taken, NAME, "left_anti")
     files, logs = waiting.agg(F.count(F.lit(1)), F.sum("logs")).first()
     if not files or (waited is not None and waited < max_wait and logs < min_logs):
         return None
     query = ingest_stream(
-        stream_spool(spark, spool, partitioned, max_files, clean_source, archive),
+        stream_spool(spark, spool, layout, max_files, clean_source, archive),
         root, checkpoint or f"{root}/_checkpoint", chain, max_wait=None, names=NAME, **options,
     )
     query.awaitTermination()
-    done = read_folder(spark, f"{root}/{FILES}", f"{NAME} string, batch_id long")
+    done = read_folder(spark, f"{root}/{TAKEN}", f"{NAME} string, batch_id long")
     return None if done is None else done.agg(F.max("batch_id")).first()[0]

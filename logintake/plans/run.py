@@ -12,7 +12,7 @@ import time
 
 from logintake.plans.dispatch import dispatch
 from logintake.session import get_session
-from logintake.sources.spool import stream_spool
+from logintake.sources.spool import FILES, LAYOUTS, stream_spool
 from logintake.streaming.intake import ingest_stream
 
 
@@ -23,7 +23,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--spool", required=True, help="folder of spool files")
     parser.add_argument("--tables", required=True, help="folder of the tables")
     parser.add_argument("--checkpoint", help="folder of the stream's progress")
-    parser.add_argument("--partitioned", action="store_true", help="spool written by Spark")
+    parser.add_argument("--layout", choices=LAYOUTS, default=FILES, help="how the spool's files lie")
     parser.add_argument("--min-logs", type=int, default=10_000)
     parser.add_argument("--max-wait", type=float, default=10, help="seconds")
     parser.add_argument("--max-files", type=int, default=1000, help="files of a micro-batch")
@@ -49,13 +49,13 @@ def main(argv: list[str] | None = None) -> int | None:
         while True:
             waited = dt.timedelta(seconds=time.monotonic() - started)
             number = dispatch(
-                spark, a.spool, a.tables, a.checkpoint, a.min_logs, max_wait, waited, a.partitioned,
+                spark, a.spool, a.tables, a.checkpoint, a.min_logs, max_wait, waited, a.layout,
                 max_files=a.max_files, **clean, **options,
             )
             if number is not None or waited >= max_wait:
                 return number
             time.sleep(min(1.0, a.max_wait))
-    lines = stream_spool(spark, a.spool, a.partitioned, a.max_files, **clean)
+    lines = stream_spool(spark, a.spool, a.layout, a.max_files, **clean)
     ingest_stream(
         lines, a.tables, a.checkpoint,
         max_wait=max_wait if a.mode == "stream" else None, **options,

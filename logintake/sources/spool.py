@@ -1,15 +1,13 @@
 """Spool folders: escaped lines in files whose names carry time and line count.
 
-Two layouts are read. In the plain one the folder holds the files themselves.
-In the partitioned one, which Spark can write, every chunk is a folder
-``spool_file=<name>``.
+Three layouts are read. "files": the folder holds the files themselves. "folders": every
+file is a folder ``spool_file=<name>``. "containers": many files lie in one container,
+with a directory (see ``containers``); this is the one that is written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,80 +16,98 @@ from logintake.functions.codec import escape
 from logintake.operators.chunk import chunk_manifest, chunk_messages
 from logintake.operators.manifest import spool_manifest
 from logintake.session import written
+from logintake.sources import containers
+from logintake.sources.containers import NAME
+from logintake.sources.files import list_files
 
+FILES, FOLDERS, CONTAINERS = LAYOUTS = ("files", "folders", "containers")
 PARTITION = "spool_file"
-NAME = "file_name"
 PATTERN = "*.*.log"
 
 
-def _lines(raw: DataFrame, partitioned: bool) -> DataFrame:
-    """Lines with the name of their file. One carriage return before the newline
-    belongs to the line end."""
-    name = F.col(PARTITION) if partitioned else F.col("_metadata.file_name")
-    value = F.col("value")
-    bare = F.when(
+def _known(layout: str) -> None:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+
+
+def _bare(value):
+    """One carriage return before the newline belongs to the line end."""
+    return F.when(
         value.endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")
     ).otherwise(value)
-    return raw.select(name.alias(NAME), bare.alias("value"))
 
 
-def read_spool(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
+def _lines(raw: DataFrame, layout: str) -> DataFrame:
+    """Lines with the name of their file."""
+    name = F.col({FILES: "_metadata.file_name", FOLDERS: PARTITION, CONTAINERS: NAME}[layout])
+    return raw.select(name.alias(NAME), _bare(F.col("value")).alias("value"))
+
+
+def read_spool(spark: SparkSession, path: str, layout: str = FILES, where=None) -> DataFrame:
     """All lines of the spool files in ``path``: ``file_name`` and ``value``.
 
-    Filters on ``file_name`` select files before any is opened.
+    ``where``, a condition on ``file_name``, selects files before any is opened; with
+    files and folders a later filter does, too.
     """
+    _known(layout)
+    if layout == CONTAINERS:
+        return _lines(containers.read_containers(spark, path, where), layout)
     reader = spark.read.option("lineSep", "\n")
-    if partitioned:
+    if layout == FOLDERS:
         reader = reader.schema(f"value string, {PARTITION} string")
     else:
         reader = reader.option("pathGlobFilter", PATTERN)
-    return _lines(reader.text(path), partitioned)
+    lines = _lines(reader.text(path), layout)
+    return lines if where is None else lines.filter(where)
 
 
 def stream_spool(
     spark: SparkSession,
     path: str,
-    partitioned: bool = False,
+    layout: str = FILES,
     max_files: int | None = 1000,
     clean_source: str = "off",
     archive: str | None = None,
 ) -> DataFrame:
-    """The same lines as a stream; ``max_files`` bounds a micro-batch.
+    """The same lines as a stream; ``max_files`` bounds a micro-batch (of containers, by
+    the files of their manifest).
 
     ``clean_source`` is off, delete or archive; the checkpoint, not the removal
-    of a file, decides what has been processed.
+    of a file, decides what has been processed. Containers are not removed by a stream.
     """
+    _known(layout)
+    if layout == CONTAINERS:
+        if clean_source != "off":
+            raise ValueError("containers are removed by vacuum only")
+        return _lines(containers.stream_containers(spark, path, max_files), layout)
     reader = (
         spark.readStream.option("lineSep", "\n")
         .option("cleanSource", clean_source)
-        .schema("value string" + (f", {PARTITION} string" if partitioned else ""))
+        .schema("value string" + (f", {PARTITION} string" if layout == FOLDERS else ""))
     )
-    if not partitioned:
+    if layout == FILES:
         reader = reader.option("pathGlobFilter", PATTERN)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
-    return _lines(reader.text(path), partitioned)
-
-
-def list_spool(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
-    """Manifest of the folder, empty files included. No file is opened.
-
-    Spark's readers pass over empty files, but its listing has their names.
-    """
-    reader = spark.read.format("binaryFile")
-    if partitioned:
-        listed = reader.option("recursiveFileLookup", "true").load(path)
-        name, of = F.regexp_extract("path", PARTITION + "=([^/]+)/", 1), f"/{PARTITION}=([^/]+)/"
+    return _lines(reader.text(path), layout)
+
+
+def list_spool(spark: SparkSession, path: str, layout: str = FILES) -> DataFrame:
+    """Manifest of the folder, empty files included. No file is opened, and no name comes
+    to the driver: folders are listed by tasks, and containers have a manifest."""
+    _known(layout)
+    if layout == CONTAINERS:
+        return spool_manifest(containers.manifest(spark, path).select(NAME, "bytes"))
+    files = list_files(spark, path)
+    if layout == FOLDERS:
+        # A file is the folder's: there is one also where a folder holds only empty parts.
+        name = F.url_decode(F.regexp_extract("path", f"^{PARTITION}=([^/]+)/", 1))
+        files = files.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[._]"))
+        files = files.groupBy(name.alias(NAME)).agg(F.sum("bytes").alias("bytes"))
     else:
-        listed = reader.load(path)
-        name, of = F.col("_metadata.file_name"), "/([^/]+)$"
-    found = (re.search(of, unquote(file)) for file in listed.inputFiles())
-    names = sorted({match[1] for match in found if match})
-    sizes = listed.groupBy(name.alias(NAME)).agg(F.sum("length").alias("bytes"))
-    files = spark.createDataFrame([(n,) for n in names], f"{NAME} string").join(sizes, NAME, "left")
-    files = files.select(NAME, F.coalesce("bytes", F.lit(0)).alias("bytes"))
+        files = files.filter(~F.contains("path", F.lit("/"))).select(F.col("path").alias(NAME), "bytes")
     return spool_manifest(files)
 
 
@@ -107,9 +123,10 @@ def write_spool(
     mode: str = "errorifexists",
     hot_rows: int | None = None,
 ) -> None:
-    """Write messages as escaped lines, one folder per chunk of a sender.
+    """Write messages as escaped lines, chunk by chunk of a sender, into containers.
 
-    The commit at the end of the job makes all chunks visible together.
+    All chunks become visible together. With mode "append" their names go on behind the
+    latest one in the folder, so that no name is given twice.
     """
     order = [order] if isinstance(order, str) else list(order)
     # Written: names and lines both need it, and the chunks are computed once.
@@ -118,23 +135,17 @@ def write_spool(
             messages.select(key, ts, *order, col), key, ts, order, max_idle, max_logs, hot_rows
         )
     )
-    names = chunk_manifest(chunked, key, ts, hot_rows).select(
-        *[F.col(c).alias("_" + c) for c in (key, "session_start", "part")],
-        F.col("file_name").alias(PARTITION),
+    after = containers.latest_start(messages.sparkSession, path) if mode == "append" else None
+    names = chunk_manifest(chunked, key, ts, hot_rows, after).select(
+        *[F.col(c).alias("_" + c) for c in (key, "session_start", "part")], F.col("file_name").alias(NAME),
     )
     # Names on the left of an outer join: a chunk then always stays in one task,
     # because Spark may split the left side of it, but never the right one.
     on = F.lit(True)
     for c in (key, "session_start", "part"):
         on = on & F.col("_" + c).eqNullSafe(F.col(c))
-    lines = names.join(chunked, on, "left").select(
-        PARTITION, "line_no", escape(F.col(col)).alias("value")
-    )
-    (
-        lines.sortWithinPartitions(PARTITION, "line_no")
-        .select("value", PARTITION)
-        .write.mode(mode)
-        .option("lineSep", "\n")
-        .partitionBy(PARTITION)
-        .text(path)
+    # Sent as a sort on both sides at every size: the lines are most of the input.
+    lines = names.join(chunked.hint("merge"), on, "left").select(
+        NAME, "line_no", escape(F.col(col)).alias("value")
     )
+    containers.write_containers(lines, path, mode)

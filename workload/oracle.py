@@ -345,6 +345,9 @@ SELECT concat(substr(file_name, 1, 17), lower(lpad(to_hex(declared), 8, '0')), '
   declared, actual, actual - declared AS difference
 FROM (SELECT file_name, count(*) AS actual, count(*) + [0, 1, -1][count(*) % 3 + 1] AS declared
   FROM spooled GROUP BY file_name)
+UNION ALL SELECT '0000000000000001.00000003.log', 3, 0, -3""",
+    "spool_audit_folders": f"""WITH {SPOOL}
+SELECT file_name, count(*) AS declared, count(*) AS actual, 0::BIGINT AS difference FROM spooled GROUP BY file_name
 UNION ALL SELECT '0000000000000001.00000003.log', 3, 0, -3""",
     "write_shared_errors": f"""{MIXED_LINES},
 messages AS (SELECT event_id, {MIXED_MESSAGE} FROM parts WHERE event_id % 6 <> 5)

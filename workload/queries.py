@@ -27,7 +27,10 @@ from logintake.plans.dispatch import dispatch
 from logintake.plans.intake import intake, parse_lines
 from logintake.plans.tables import by_day, parquet_writer, read_table, write_tables
 from logintake.session import shared_folder
+from logintake.sources.containers import write_containers
 from logintake.sources.spool import (
+    CONTAINERS,
+    FOLDERS,
     list_spool,
     read_spool,
     stream_spool,
@@ -383,7 +386,7 @@ def _spool(spark, sf_dir) -> str:
 
 def spool_roundtrip(spark, sf_dir):
     """Lines in their file, numbered in the order of the sender."""
-    read = read_spool(spark, _spool(spark, sf_dir), partitioned=True)
+    read = read_spool(spark, _spool(spark, sf_dir), CONTAINERS)
     return read.select("file_name", unescape(F.col("value")).alias("line"))
 
 
@@ -398,7 +401,7 @@ def spool_documents(spark, sf_dir):
     )
     path = shared_folder(spark)
     write_spool(docs, path, "lang", "ts", "line", "doc_id", max_logs=100)
-    parsed = parse_lines(read_spool(spark, path, partitioned=True))
+    parsed = parse_lines(read_spool(spark, path, CONTAINERS))
     return parsed.select("pid", "data", "error_code")
 
 
@@ -411,19 +414,28 @@ def audit(spark, sf_dir):
     name = F.concat(
         F.substring("file_name", 1, 17), F.lower(F.lpad(F.hex(declared), 8, "0")), F.lit(".log")
     )
-    lines = read_spool(spark, whole, partitioned=True).select("value", name.alias("spool_file"))
+    lines = read_spool(spark, whole, CONTAINERS).select(name.alias("file_name"), F.lit(0).alias("line_no"), "value")
+    empty = spark.createDataFrame(
+        [("0000000000000001.00000003.log", 0, None)], "file_name string, line_no int, value string"
+    )
+    write_containers(lines.unionByName(empty).repartition("file_name"), path)
+    return spool_audit(read_spool(spark, path, CONTAINERS), list_spool(spark, path, CONTAINERS))
+
+
+def audit_folders(spark, sf_dir):
+    """The same of a spool in which every file is a folder."""
+    whole, path = _spool(spark, sf_dir), shared_folder(spark)
+    lines = read_spool(spark, whole, CONTAINERS).select("value", F.col("file_name").alias("spool_file"))
     lines.write.partitionBy("spool_file").text(path)
     empty = spark.createDataFrame([], "value string").coalesce(1)
     empty.write.text(f"{path}/spool_file=0000000000000001.00000003.log")
-    return spool_audit(
-        read_spool(spark, path, partitioned=True), list_spool(spark, path, partitioned=True)
-    )
+    return spool_audit(read_spool(spark, path, FOLDERS), list_spool(spark, path, FOLDERS))
 
 
 def intake_batch(spark, sf_dir):
     """Spool to tables in one batch; the table read back."""
     root = shared_folder(spark)
-    lines = read_spool(spark, _spool(spark, sf_dir), partitioned=True)
+    lines = read_spool(spark, _spool(spark, sf_dir), CONTAINERS)
     intake(lines, root, ref_time=REF_TIME, ingest_time=_ingest_time())
     return _naive(read_table(spark, root, "syslog").select(*MESSAGE_COLUMNS))
 
@@ -434,7 +446,7 @@ def intake_dispatch(spark, sf_dir):
     spool = _spool(spark, sf_dir)
     size = spark.read.parquet(f"{sf_dir}/events.parquet").count() // 3 + 1
     while dispatch(
-        spark, spool, root, min_logs=size, partitioned=True, ref_time=REF_TIME,
+        spark, spool, root, min_logs=size, layout=CONTAINERS, ref_time=REF_TIME,
         ingest_time=_ingest_time(),
     ) is not None:
         pass
@@ -446,7 +458,7 @@ def intake_gated(spark, sf_dir):
     root, spool = shared_folder(spark), _spool(spark, sf_dir)
     size = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     common = dict(
-        partitioned=True, ref_time=REF_TIME, ingest_time=_ingest_time(), waited=dt.timedelta(0)
+        layout=CONTAINERS, ref_time=REF_TIME, ingest_time=_ingest_time(), waited=dt.timedelta(0)
     )
     first = dispatch(spark, spool, root, min_logs=size + 1, **common)
     second = dispatch(spark, spool, root, min_logs=size, **common)
@@ -530,7 +542,7 @@ def daily_layout(spark, sf_dir):
 
 def ingest(spark, sf_dir):
     root, checkpoint = shared_folder(spark), shared_folder(spark)
-    stream = stream_spool(spark, _spool(spark, sf_dir), partitioned=True, max_files=200)
+    stream = stream_spool(spark, _spool(spark, sf_dir), CONTAINERS, max_files=2)
     ingest_stream(
         stream, root, checkpoint, max_wait=None, ref_time=REF_TIME, ingest_time=_ingest_time()
     ).awaitTermination()
@@ -606,6 +618,7 @@ ALL = {
     "spool_roundtrip": spool_roundtrip,
     "spool_documents": spool_documents,
     "spool_audit": audit,
+    "spool_audit_folders": audit_folders,
     "intake_batch": intake_batch,
     "intake_dispatch": intake_dispatch,
     "intake_gated": intake_gated,
