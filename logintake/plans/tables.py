@@ -147,7 +147,7 @@ def write_tables(
         known = tables.get(table)
         tables[table] = rows if known is None else known.unionByName(rows, allowMissingColumns=True)
     try:
-        if isinstance(write, ParquetWriter):
+        if hasattr(write, "begin"):
             write.begin(parsed.sparkSession, list(tables))
         for table, rows in tables.items():
             write(rows, table)

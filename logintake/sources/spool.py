@@ -30,7 +30,7 @@ def _known(layout: str) -> None:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
 
 
-def _bare(value):
+def bare(value):
     """One carriage return before the newline belongs to the line end."""
     return F.when(
         value.endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")
@@ -40,7 +40,7 @@ def _bare(value):
 def _lines(raw: DataFrame, layout: str) -> DataFrame:
     """Lines with the name of their file."""
     name = F.col({FILES: "_metadata.file_name", FOLDERS: PARTITION, CONTAINERS: NAME}[layout])
-    return raw.select(name.alias(NAME), _bare(F.col("value")).alias("value"))
+    return raw.select(name.alias(NAME), bare(F.col("value")).alias("value"))
 
 
 def read_spool(spark: SparkSession, path: str, layout: str = FILES, where=None) -> DataFrame:
@@ -95,19 +95,21 @@ def stream_spool(
 
 
 def list_spool(spark: SparkSession, path: str, layout: str = FILES) -> DataFrame:
-    """Manifest of the folder, empty files included. No file is opened, and no name comes
-    to the driver: folders are listed by tasks, and containers have a manifest."""
+    """Manifest of the folder, empty files included, with the time ``modified`` at which
+    each was last changed. No file is opened, and no name comes to the driver: folders are
+    listed by tasks, and containers have a manifest."""
     _known(layout)
     if layout == CONTAINERS:
-        return spool_manifest(containers.manifest(spark, path).select(NAME, "bytes"))
+        changed = F.col("_metadata.file_modification_time").alias("modified")
+        return spool_manifest(containers.manifest(spark, path).select(NAME, "bytes", changed))
     files = list_files(spark, path)
     if layout == FOLDERS:
         # A file is the folder's: there is one also where a folder holds only empty parts.
         name = F.url_decode(F.regexp_extract("path", f"^{PARTITION}=([^/]+)/", 1))
         files = files.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[._]"))
-        files = files.groupBy(name.alias(NAME)).agg(F.sum("bytes").alias("bytes"))
+        files = files.groupBy(name.alias(NAME)).agg(F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"))
     else:
-        files = files.filter(~F.contains("path", F.lit("/"))).select(F.col("path").alias(NAME), "bytes")
+        files = files.filter(~F.contains("path", F.lit("/"))).select(F.col("path").alias(NAME), "bytes", "modified")
     return spool_manifest(files)
 
 

@@ -241,6 +241,25 @@ SELECT event_id, unique_us FROM stamps
 """
 
 
+def _batch_stamps() -> str:
+    """One pass over all events: by third of the time, then hour, then number."""
+    return f"""WITH RECURSIVE arrivals AS ({HOT_ARRIVALS}),
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM arrivals),
+numbered AS (
+  SELECT event_id, epoch_us(date_trunc('hour', ts)) AS now,
+    row_number() OVER (ORDER BY CASE WHEN epoch_us(ts) < lo + (hi - lo + 3) // 3 THEN 0
+      WHEN epoch_us(ts) < lo + (hi - lo + 3) * 2 // 3 THEN 1 ELSE 2 END,
+      date_trunc('hour', ts), event_id) AS n
+  FROM arrivals, span),
+stamps AS (
+  SELECT event_id, n, now AS unique_us FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT r.event_id, r.n, greatest(r.now, s.unique_us + 1)
+  FROM stamps s JOIN numbered r ON r.n = s.n + 1)
+SELECT event_id, unique_us FROM stamps
+"""
+
+
 # Files of the spool: chunks of an event type, six hours of silence, 500 lines.
 SPOOL = """
 typed AS (SELECT event_id, ts, event_type FROM events),
@@ -336,6 +355,7 @@ SELECT *, epoch_us(start_ts) AS start_us, concat(
   lower(lpad(to_hex(logs), 8, '0')), '.log') AS file_name FROM made""",
     "unique_micros": _stamps("PARTITION BY user_id"),
     "unique_micros_global": _stamps(""),
+    "unique_micros_batches": _batch_stamps(),
     "spool_roundtrip": f"""{MIXED_LINES}, {SPOOL}
 SELECT file_name, line FROM lines JOIN spooled USING (event_id)""",
     "spool_documents": """SELECT CAST(doc_id AS INTEGER) AS pid, text AS data,
@@ -365,6 +385,11 @@ UNION ALL SELECT 'syslog', count(*) FROM messages WHERE severity <> 0""",
     "intake_batch": MESSAGE_ROWS,
     "intake_dispatch": ERROR_ROWS,
     "intake_gated": f"SELECT *, 'None 0 None' AS batches FROM ({ERROR_ROWS})",
+    "stream_gated": f"SELECT *, '0 1 1 2' AS batches FROM ({ERROR_ROWS})",
+    "daily_files": f"""{MESSAGES}
+SELECT CAST(date AS DATE) AS date_day, count(*) AS n, min(date) AS first, max(date) AS last
+FROM messages GROUP BY 1""",
+    "compact_day": f"SELECT *, true AS few_files, true AS same_before FROM ({MESSAGE_ROWS})",
     "intake_replay": f"""{ROUTED},
 stored AS (
   SELECT 'errors' AS "table", TIMESTAMP '2024-06-01 12:00:00' AS date

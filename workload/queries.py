@@ -26,8 +26,11 @@ from logintake.operators.route import (
 from logintake.plans.dispatch import dispatch
 from logintake.plans.intake import intake, parse_lines
 from logintake.plans.tables import by_day, parquet_writer, read_table, write_tables
+from logintake.plans.stamps import StampBlocks
+from logintake.plans.versions import VersionedTable, compact, read_versioned, versioned_writer
 from logintake.session import shared_folder
 from logintake.sources.containers import write_containers
+from logintake.sources.gated import BatchLog, stream_gated
 from logintake.sources.spool import (
     CONTAINERS,
     FOLDERS,
@@ -468,6 +471,44 @@ def intake_gated(spark, sf_dir):
     )
 
 
+def gated(spark, sf_dir):
+    """A spool that grows by a quarter, a half and a quarter of the lines. A stream takes
+    nothing of the first, then both, and the last only once it has waited long enough."""
+    root, spool, state, checkpoint = (shared_folder(spark) for _ in range(4))
+    lines = mixed_lines(spark, sf_dir, "ts", "event_type")
+    size = lines.count()
+    quarter = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    seen = []
+
+    def grow(some) -> None:
+        write_spool(
+            lines.filter(quarter.isin(*some)), spool, "event_type", "ts", "line", "event_id", GAP, SPOOL_CAP,
+            mode="append",
+        )
+
+    def start(max_wait: dt.timedelta):
+        return ingest_stream(
+            stream_gated(spark, spool, state, size // 2, max_wait, CONTAINERS), root, checkpoint,
+            max_wait=dt.timedelta(milliseconds=200), ref_time=REF_TIME, ingest_time=_ingest_time(),
+        )
+
+    grow([0])
+    query = start(dt.timedelta(days=1))
+    for some in ([], [1, 2], [3]):
+        if some:
+            grow(some)
+        query.processAllAvailable()
+        seen.append(len(BatchLog(state).numbers()))
+    query.stop()
+    query = start(dt.timedelta(0))
+    query.processAllAvailable()
+    query.stop()
+    seen.append(len(BatchLog(state).numbers()))
+    return _naive(read_table(spark, root, "errors").select("date", "data")).withColumn(
+        "batches", F.lit(" ".join(map(str, seen)))
+    )
+
+
 def intake_replay(spark, sf_dir):
     """The same batch twice; the second run replaces the first."""
     root = shared_folder(spark)
@@ -540,6 +581,68 @@ def daily_layout(spark, sf_dir):
     )
 
 
+def _versioned(spark, sf_dir) -> str:
+    """The lines in three batches, the last one twice, as versioned tables."""
+    root = shared_folder(spark)
+    lines = mixed_lines(spark, sf_dir)
+    for number in (0, 1, 2, 2):
+        some = lines.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == number)
+        intake(some, root, ref_time=REF_TIME, ingest_time=_ingest_time(), batch_id=number, col="line",
+               keep="cache", writer=versioned_writer)
+    return root
+
+
+def one_day(spark, sf_dir):
+    """The rows of each day, read from the files of that day alone: their least and
+    greatest day, and whether the list has files of one day only."""
+    root = _versioned(spark, sf_dir)
+    found = VersionedTable(spark, f"{root}/syslog")
+    days = [r.day for r in found.live().select("day").distinct().collect()]
+    out = None
+    for day in days:
+        rows = read_versioned(spark, root, "syslog", day=day).agg(
+            F.lit(day).alias("date_day"), F.count(F.lit(1)).alias("n"),
+            F.min("date").alias("first"), F.max("date").alias("last"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return _naive(out, "first", "last")
+
+
+def compacted(spark, sf_dir):
+    """All days put together to files of a size that gives each two or so. A reader that has
+    begun before sees the version before; so does one that asks for it."""
+    root = _versioned(spark, sf_dir)
+    found = VersionedTable(spark, f"{root}/syslog")
+    version, early = found.latest(), read_versioned(spark, root, "syslog")
+    sizes = F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")
+    before = {r.day: r.bytes for r in found.live(version).groupBy("day").agg(*sizes).collect()}
+    target = max(before.values()) // 2 + 1
+    compact(spark, root, "syslog", target_bytes=target, hot_rows=3)
+    after = {r.day: r.n for r in found.live().groupBy("day").agg(*sizes).collect()}
+    whole = all(after[day] <= size // target + 1 for day, size in before.items())
+    asked = read_versioned(spark, root, "syslog", version)
+    same = early.count() == asked.count() and early.exceptAll(asked).isEmpty()
+    return _naive(read_versioned(spark, root, "syslog").select(*MESSAGE_COLUMNS)).withColumns(
+        {"few_files": F.lit(whole), "same_before": F.lit(same)}
+    )
+
+
+def stamps_of_batches(spark, sf_dir):
+    """Batches by time, each taking its stamps behind those of the one before; the second
+    is repeated."""
+    events = _hot_arrivals(spark, sf_dir)
+    at = micros(F.col("ts"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    # An hour's events may lie on both sides of a bound; their stamps go on.
+    hours = events.withColumn("hour", F.date_trunc("hour", "ts"))
+    blocks = StampBlocks(spark, shared_folder(spark))
+    out = {}
+    for n in (0, 1, 1, 2):
+        lo, hi = (first + (last - first + 3) * k // 3 for k in (n, n + 1))
+        out[n] = blocks.stamp(hours.filter((at >= lo) & (at < hi)), n, "hour", "event_id", hot_rows=500)
+    return out[0].unionByName(out[1]).unionByName(out[2]).select("event_id", "unique_us")
+
+
 def ingest(spark, sf_dir):
     root, checkpoint = shared_folder(spark), shared_folder(spark)
     stream = stream_spool(spark, _spool(spark, sf_dir), CONTAINERS, max_files=2)
@@ -615,6 +718,7 @@ ALL = {
     "chunk_manifest": chunk_files,
     "unique_micros": unique_stamps,
     "unique_micros_global": unique_stamps_global,
+    "unique_micros_batches": stamps_of_batches,
     "spool_roundtrip": spool_roundtrip,
     "spool_documents": spool_documents,
     "spool_audit": audit,
@@ -622,11 +726,14 @@ ALL = {
     "intake_batch": intake_batch,
     "intake_dispatch": intake_dispatch,
     "intake_gated": intake_gated,
+    "stream_gated": gated,
     "intake_replay": intake_replay,
     "write_shared_errors": write_shared_errors,
     "write_without_catch_all": write_without_catch_all,
     "intake_replay_changed": intake_replay_changed,
     "daily_layout": daily_layout,
+    "daily_files": one_day,
+    "compact_day": compacted,
     "ingest_stream": ingest,
     "chunk_stream": chunks_in_stream,
 }
