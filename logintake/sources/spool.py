@@ -33,7 +33,7 @@ def _known(layout: str) -> None:
 def bare(value):
     """One carriage return before the newline belongs to the line end."""
     return F.when(
-        value.endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")
+        value.endswith("\r"), F.substring(value, F.lit(1), F.length(value) - 1)
     ).otherwise(value)
 
 

@@ -11,7 +11,8 @@ from logintake.operators.route import Processor, Processors
 from logintake.plans import intake as plan
 from logintake.plans.dispatch import dispatch
 from logintake.plans.tables import jdbc_writer, parquet_writer, read_table, write_tables
-from logintake.sources.spool import list_spool, read_spool, stream_spool, write_spool
+from logintake.sources.containers import ContainerReader, manifest
+from logintake.sources.spool import CONTAINERS, list_spool, read_spool, stream_spool, write_spool
 from logintake.streaming.chunks import chunk_stream
 from logintake.streaming.intake import ingest_stream, trigger
 from workload.render import mixed_lines
@@ -51,18 +52,16 @@ def test_written_folder(spark, tmp_path, events):
     path = str(tmp_path / "spool")
     rows = events.select("event_id", "ts", "event_type", F.concat("props", F.lit("\n\té\\")).alias("m"))
     write_spool(rows, path, "event_type", "ts", "m", "event_id", dt.timedelta(days=1), 40, hot_rows=60)
-    read = read_spool(spark, path, partitioned=True)
+    read = read_spool(spark, path, CONTAINERS)
     assert read.filter(read.value.rlike(r"[^ -~]")).count() == 0
     back = read.select(unescape("value").alias("m"))
     assert back.exceptAll(rows.select("m")).isEmpty() and back.count() == rows.count()
-    files = list_spool(spark, path, partitioned=True)
+    files = list_spool(spark, path, CONTAINERS)
     counts = {r.file_name: r["count"] for r in read.groupBy("file_name").count().collect()}
     assert {r.file_name: r.logs for r in files.collect()} == counts
     assert max(counts.values()) == 40
-    for name in os.listdir(path):
-        if name.startswith("spool_file="):
-            parts = [f for f in os.listdir(f"{path}/{name}") if f.startswith("part-")]
-            assert len(parts) == 1
+    # No folder and no file per chunk.
+    assert len(os.listdir(f"{path}/data")) <= spark.sparkContext.defaultParallelism < len(counts)
 
 
 def test_lines_of_a_written_file_are_in_order(spark, tmp_path):
@@ -72,12 +71,26 @@ def test_lines_of_a_written_file_are_in_order(spark, tmp_path):
         F.format_string("%04d", 500 - F.col("id")).alias("m"),
     )
     write_spool(rows, path, "k", "ts", "m", max_logs=100)
-    for name in os.listdir(path):
-        if name.startswith("spool_file="):
-            part = [f for f in os.listdir(f"{path}/{name}") if f.startswith("part-")][0]
-            with open(f"{path}/{name}/{part}") as f:
-                lines = f.read().split()
-            assert lines == sorted(lines) and len(lines) == 100
+    found = manifest(spark, path).collect()
+    assert len(found) == 5
+    for r in found:
+        lines = ContainerReader(path, r.container).find(r.file_name).decode().split()
+        assert lines == sorted(lines) and len(lines) == 100 == r.lines
+
+
+def test_two_writes_into_one_folder(spark, tmp_path):
+    """Senders of the same microsecond, written twice: no name is given again."""
+    path = str(tmp_path / "spool")
+    rows = spark.range(60).select(
+        F.concat(F.lit("s"), F.col("id") % 20).alias("k"), F.timestamp_micros(F.lit(5)).alias("ts"), F.col("id").cast("string").alias("m")
+    )
+    for mode in ("append", "append"):
+        write_spool(rows, path, "k", "ts", "m", mode=mode)
+    names = [r.file_name for r in list_spool(spark, path, CONTAINERS).collect()]
+    assert len(names) == len(set(names)) == 40
+    assert read_spool(spark, path, CONTAINERS).count() == 120
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        write_spool(rows, path, "k", "ts", "m")
 
 
 def test_tables_are_replaced_by_a_repeated_batch(spark, tmp_path):
@@ -161,6 +174,27 @@ def test_dispatch_takes_each_file_once(spark, tmp_path):
     assert run() is None and read_table(spark, root, "errors").count() == 1
 
 
+def test_dispatch_forgets_what_is_long_taken(spark, tmp_path):
+    """The state holds the latest files only, whatever was before; a file that comes late is
+    taken, though its name is the smallest."""
+    spool, root = tmp_path / "spool", str(tmp_path / "tables")
+    spool.mkdir()
+    now_s = 1_700_000_000
+    for n in range(6):
+        name = spool_file(spool, 100 + n, [message(n)])
+        os.utime(spool / name, (now_s + 1000 * n,) * 2)
+        number = dispatch(spark, str(spool), root, min_logs=1, ref_time=REF, slack=dt.timedelta(seconds=1500))
+        assert number == n
+        state = spark.read.parquet(f"{root}/_mark")
+        assert state.filter("file_name IS NOT NULL").count() <= 2
+        assert os.listdir(f"{root}/_mark") == [f"batch_id={n}"] and not [d for d in os.listdir(f"{root}/_files") if d.startswith("batch")]
+    late = spool_file(spool, 1, [message(50)])
+    os.utime(spool / late, (now_s + 4800,) * 2)
+    run = lambda: dispatch(spark, str(spool), root, min_logs=1, ref_time=REF, slack=dt.timedelta(seconds=1500))
+    assert run() == 6 and run() is None
+    assert sorted(r.pid for r in read_table(spark, root, "syslog").collect()) == [*range(6), 50]
+
+
 def test_dispatch_waits_for_lines(spark, tmp_path):
     spool, root = tmp_path / "spool", str(tmp_path / "tables")
     spool.mkdir()
