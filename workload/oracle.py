@@ -329,6 +329,17 @@ WHERE event_type <> 'error' AND user_id <> 75 AND user_id NOT BETWEEN 10 AND 19"
     "rule_action": f"""{SENDERS}
 SELECT event_id, CASE WHEN event_type <> 'error' AND (user_id = 75 OR user_id BETWEEN 10 AND 19)
   THEN 'reject' ELSE 'accept' END AS action FROM senders""",
+    "rule_table": f"""{SENDERS},
+rules AS (
+  SELECT p_partkey AS number, CASE WHEN p_size % 2 = 0 THEN 'accept' ELSE 'reject' END AS action,
+    CASE p_partkey % 6 WHEN 0 THEN concat('log-zone-', zone) WHEN 1 THEN concat('log-zone-', zone, '_')
+      WHEN 2 THEN concat('%-', zone) WHEN 3 THEN concat('other-', zone, '%')
+      WHEN 4 THEN concat('_og-zone-', zone) ELSE concat('log-%', zone) END AS pattern
+  FROM (SELECT *, p_partkey * 7 % 1201 AS zone FROM part)),
+best AS (
+  SELECT cn, arg_min(action, number) AS action
+  FROM (SELECT DISTINCT cn FROM senders) JOIN rules ON cn LIKE pattern GROUP BY cn)
+SELECT event_id, cn, coalesce(action, 'reject') AS action FROM senders LEFT JOIN best USING (cn)""",
     "escape_lines": f"SELECT doc_id, {_spelled('encode(text)')} AS line FROM documents",
     "escape_bytes": f"""SELECT page_id, concat('\\x88', {_spelled('encode(html)')}) AS line
 FROM pages""",

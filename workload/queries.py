@@ -23,6 +23,7 @@ from logintake.operators.route import (
     rule_filter,
     valid_messages,
 )
+from logintake.operators.rules import table_actions
 from logintake.plans.dispatch import dispatch
 from logintake.plans.intake import intake, parse_lines
 from logintake.plans.tables import by_day, parquet_writer, read_table, write_tables
@@ -240,6 +241,25 @@ def sender_actions(spark, sf_dir):
     return _senders(spark, sf_dir).select("event_id", action.alias("action"))
 
 
+def rules_by_part(spark, sf_dir):
+    """A rule for each part, of six kinds, over all senders."""
+    key, kind = F.col("p_partkey"), F.col("p_partkey") % 6
+    zone = (key * 7 % 1201).cast("string")
+    wildcard = (
+        F.when(kind == 0, F.concat(F.lit("log-zone-"), zone))
+        .when(kind == 1, F.concat(F.lit("log-zone-"), zone, F.lit("?")))
+        .when(kind == 2, F.concat(F.lit("*-"), zone))
+        .when(kind == 3, F.concat(F.lit("other-"), zone, F.lit("*")))
+        .when(kind == 4, F.concat(F.lit("?og-zone-"), zone))
+        .otherwise(F.concat(F.lit("log-*"), zone))
+    )
+    rules = table(spark, sf_dir, "part").select(
+        key.alias("number"), wildcard.alias("wildcard"),
+        F.when(F.col("p_size") % 2 == 0, "accept").otherwise("reject").alias("action"),
+    )
+    return table_actions(_senders(spark, sf_dir), "cn", rules)
+
+
 # Codec
 
 
@@ -704,6 +724,7 @@ ALL = {
     "processor_tables": processor_counts,
     "rule_filter": accept_senders,
     "rule_action": sender_actions,
+    "rule_table": rules_by_part,
     "escape_lines": escape_lines,
     "escape_bytes": escape_bytes,
     "escape_roundtrip": escape_roundtrip,
