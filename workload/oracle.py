@@ -306,6 +306,15 @@ SELECT event_id, eid AS pid, CAST(NULL AS INTEGER) AS error_code FROM parts""",
     "error_report": f"""{MIXED_LINES}
 SELECT code AS error_code, {_reason('code')} AS error_reason, count(*) AS lines
 FROM lines WHERE code IS NOT NULL GROUP BY code""",
+    "error_report_days": f"""{MIXED_LINES},
+messages AS (SELECT event_id, {MIXED_MESSAGE} FROM parts WHERE event_id % 6 <> 5),
+days AS (
+  SELECT CAST(date AS DATE) AS day, count(*) AS lines, 0::BIGINT AS errors, count(DISTINCT hostname) AS senders
+  FROM messages GROUP BY 1),
+wrong AS (SELECT {_reason('code')} AS reason, count(*) AS n FROM lines WHERE code IS NOT NULL GROUP BY 1)
+SELECT *, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS n FROM days
+UNION ALL
+SELECT DATE '2024-06-01', sum(n) OVER ()::BIGINT, sum(n) OVER ()::BIGINT, 0, reason, n FROM wrong""",
     "error_lines": f"""{MIXED_LINES}
 SELECT code AS error_code, {_reason('code')} AS error_reason, line AS raw
 FROM lines WHERE code IS NOT NULL""",

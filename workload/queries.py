@@ -11,8 +11,14 @@ from logintake.functions.codec import escape, escape_valid, unescape
 from logintake.operators.chunk import chunk_manifest, chunk_messages, spool_name
 from logintake.operators.clock import micros, unique_micros
 from logintake.operators.manifest import next_batch, spool_audit, spool_manifest
-from logintake.operators.parse import MESSAGE_COLUMNS, parse_syslog
-from logintake.operators.report import error_lines, error_report
+from logintake.operators.parse import MESSAGE_COLUMNS, REASONS, parse_syslog
+from logintake.operators.report import (
+    day_sketches,
+    error_lines,
+    error_report,
+    merge_sketches,
+    read_sketches,
+)
 from logintake.operators.route import (
     Processor,
     Processors,
@@ -148,6 +154,22 @@ def error_counts(spark, sf_dir):
     return error_report(_mixed(spark, sf_dir))
 
 
+def report_of_days(spark, sf_dir):
+    """Sketches of three batches, kept as a table and merged by day; a row for each of the
+    day's error reasons, and one without reason."""
+    path, parsed = shared_folder(spark), _mixed(spark, sf_dir)
+    day = F.lit(INGEST_TIME).cast("date")
+    for n in range(3):
+        some = parsed.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == n)
+        day_sketches(some, day).write.mode("append").parquet(path)
+    merged = read_sketches(merge_sketches(spark.read.parquet(path)), top=len(REASONS))
+    text = F.explode_outer("texts").alias("text")
+    return merged.select("day", "lines", "errors", "senders", text).select(
+        "day", "lines", "errors", "senders",
+        F.col("text.item").alias("reason"), F.col("text.count").alias("n"),
+    )
+
+
 def error_listing(spark, sf_dir):
     return error_lines(_mixed(spark, sf_dir))
 
@@ -715,6 +737,7 @@ ALL = {
     "parse_errors": parse_errors,
     "error_report": error_counts,
     "error_lines": error_listing,
+    "error_report_days": report_of_days,
     "split_errors": split_errors,
     "split_messages": split_messages,
     "route_first_match": route_messages,
