@@ -422,4 +422,15 @@ SELECT CAST(date AS DATE) AS date_day, count(*) AS n, min(date) AS first, max(da
   CAST(sum(pid) AS BIGINT) AS pids FROM messages GROUP BY 1""",
     "ingest_stream": MESSAGE_ROWS,
     "chunk_stream": f"{CHUNKS} SELECT * FROM chunks",
+    "chunk_stream_timers": f"""{CHUNKS},
+made AS (
+  SELECT user_id, session_start, part, count(*) AS logs, min(ts) AS first_ts, max(ts) AS last_ts
+  FROM chunks GROUP BY ALL),
+ended AS (
+  SELECT *, session_start < max(session_start) OVER (PARTITION BY user_id)
+      OR (epoch_us(max(last_ts) OVER (PARTITION BY user_id, session_start)) + 21600000000) // 1000 + 1
+        <= epoch_us(max(last_ts) OVER ()) // 1000 AS over FROM made)
+SELECT user_id, session_start, part, logs, first_ts, last_ts,
+  CASE WHEN logs = 3 THEN 'size' ELSE 'time' END AS closed_by
+FROM ended WHERE logs = 3 OR over""",
 }

@@ -48,6 +48,7 @@ from logintake.sources.spool import (
 )
 from logintake.streaming.chunks import chunk_stream
 from logintake.streaming.intake import ingest_stream
+from logintake.streaming.timers import closed_chunks, rocksdb_state
 from workload import shapes
 from workload.render import in_shapes, mixed_lines, table, with_parts
 
@@ -694,20 +695,39 @@ def ingest(spark, sf_dir):
     return _naive(read_table(spark, root, "syslog").select(*MESSAGE_COLUMNS))
 
 
-def chunks_in_stream(spark, sf_dir):
-    """Events that arrive in four stretches of time, each taken by a micro-batch.
+def _in_stretches(arrivals, source: str):
+    """Write events to a folder in four stretches of time, one after each step.
 
     The inner bounds come from the data; the first and the last stretch are open, and an
     event without a time is in the first.
     """
-    root, checkpoint, source = (shared_folder(spark) for _ in range(3))
-    arrivals = _arrivals(spark, sf_dir)
     at = micros(F.col("ts"))
     first, last = arrivals.agg(F.min(at), F.max(at)).first()
     span = ((last or 0) - (first or 0)) // 4 + 1
     stretch = F.coalesce(F.least(F.lit(3), F.greatest(F.lit(0), F.floor((at - (first or 0)) / span))), F.lit(0))
     for n in range(4):
         arrivals.filter(stretch == n).write.mode("append").parquet(source)
+        yield n
+
+
+def chunks_by_timers(spark, sf_dir):
+    """The same stretches, each taken by a run of the stream; chunks as they are closed."""
+    out, checkpoint, source = (shared_folder(spark) for _ in range(3))
+    arrivals = _arrivals(spark, sf_dir)
+    for _ in _in_stretches(arrivals, source):
+        stream = spark.readStream.schema(arrivals.schema).parquet(source)
+        with rocksdb_state(spark):
+            closed_chunks(stream, "user_id", "ts", GAP, CAP).writeStream.format("parquet").option(
+                "checkpointLocation", checkpoint
+            ).trigger(availableNow=True).start(out).awaitTermination()
+    return _naive(spark.read.parquet(out), "session_start", "first_ts", "last_ts")
+
+
+def chunks_in_stream(spark, sf_dir):
+    """Events that arrive in four stretches of time, each taken by a micro-batch."""
+    root, checkpoint, source = (shared_folder(spark) for _ in range(3))
+    arrivals = _arrivals(spark, sf_dir)
+    for _ in _in_stretches(arrivals, source):
         stream = spark.readStream.schema(arrivals.schema).parquet(source)
         chunk_stream(
             stream, root, checkpoint, "user_id", "ts", "event_id", GAP, CAP, max_wait=None
@@ -780,4 +800,5 @@ ALL = {
     "compact_day": compacted,
     "ingest_stream": ingest,
     "chunk_stream": chunks_in_stream,
+    "chunk_stream_timers": chunks_by_timers,
 }
