@@ -60,7 +60,7 @@ def test_planes(kind, ids):
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_id_files(spark, kind):
     texts = odd_texts(60)
-    rows = [(i * 7 % 101, t) for i, t in enumerate(texts)]
+    rows = [(i * 7 % 211, t) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, DOCS).repartition(5).withColumns({"row": F.lit(0), "file": F.lit("f")})
     folder = shared_folder(spark)
     manifest = write_ids(docs, folder, BYTES, 0, chunk_ids=100, kind=kind)
