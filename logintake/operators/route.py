@@ -33,7 +33,8 @@ class Processor:
     """Picks messages by ``predicate`` and writes ``projection`` of them to ``table``.
 
     ``rewrite`` changes columns of every message offered to this processor, so
-    also for the processors after it. Both Columns may hold pandas UDFs.
+    also for the processors after it. Both Columns may hold pandas UDFs. ``last`` marks the
+    catch-all.
     """
 
     name: str
@@ -41,6 +42,7 @@ class Processor:
     projection: Callable[[DataFrame], DataFrame] | None = None
     table: str | None = None
     rewrite: dict[str, Column] = field(default_factory=dict)
+    last: bool = False
 
     def rows(self, routed: DataFrame) -> DataFrame:
         picked = routed.filter(F.col(ROUTE) == self.name).drop(ROUTE)
@@ -53,7 +55,7 @@ class Processor:
 
 def catch_all() -> Processor:
     """Takes every message that is left and stores its seven columns."""
-    return Processor("syslog", F.lit(True), lambda df: df.select(*MESSAGE_COLUMNS))
+    return Processor("syslog", F.lit(True), lambda df: df.select(*MESSAGE_COLUMNS), last=True)
 
 
 class Processors:
@@ -76,11 +78,11 @@ class Processors:
 
 
 def ending_in_catch_all(chain: Processors | list[Processor] | None) -> list[Processor]:
-    """The chain as a list whose last processor takes what is left."""
-    if chain is None or isinstance(chain, Processors):
-        return (chain or Processors()).with_catch_all()
-    last = catch_all()
-    return [*(p for p in chain if p.name != last.name), last]
+    """The chain as a list whose last processor takes what is left. Names that are taken,
+    that of the catch-all included, are refused."""
+    if not isinstance(chain, Processors):
+        chain = Processors(*(p for p in chain or [] if not p.last))
+    return chain.with_catch_all()
 
 
 def route_first_match(messages: DataFrame, chain: list[Processor]) -> DataFrame:

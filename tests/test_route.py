@@ -129,3 +129,14 @@ def test_observed_numbers(spark, messages):
     observed(messages, seen, by_code=True).write.format("noop").mode("overwrite").save()
     numbers = seen.get
     assert (numbers["lines"], numbers["errors"], numbers["error_1"], numbers["error_8"]) == (5, 2, 1, 0)
+
+
+def test_names_in_a_plain_list(spark):
+    """A list is held to the same names as a chain; the catch-all is there once."""
+    mine = Processor("mine", F.lit(False))
+    names = lambda chain: [p.name for p in ending_in_catch_all(chain)]
+    assert names(None) == names([]) == ["syslog"]
+    assert names([mine]) == names(Processors(mine).with_catch_all()) == ["mine", "syslog"]
+    for name in ("syslog", "errors", "mine"):
+        with pytest.raises(ValueError, match="taken"):
+            ending_in_catch_all([mine, Processor(name, F.lit(True))])
