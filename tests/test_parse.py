@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logintake.operators.parse import MESSAGE_COLUMNS, REASONS, parse_syslog
 from model import meaning
 
-# Lines of every kind; the first two families are the examples of the RFCs.
+# Lines of every kind; the first two families follow examples of RFC 5424 and RFC 3164, some shortened or altered.
 GOOD = [
     "<34>1 2003-10-11T22:14:15.003Z mymachine.example.com su - ID47 - 'su root' failed for lonvick",
     "<165>1 2003-08-24T05:14:15.000003-07:00 192.0.2.1 myproc 8710 - - %% It's time",
