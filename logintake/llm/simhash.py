@@ -11,13 +11,19 @@ plane are added to counters that are themselves bit planes, with carry-save adds
 word is abandoned once all its lanes exceed the radius. Buckets lie side by side in the
 lanes, so small ones share words.
 
-A bucket above a bound is dealt out again: its members agree on the bits of its key, so
-their differences lie in the others, and these are cut into ``radius + 1`` blocks, on one
-of which two linked members agree. As fingerprints are distinct, this ends.
+A bucket above a bound is dealt out again, by the distance from its centre, the majority
+of each bit. Members far from it agree on the bits of the key, so their differences lie in
+the others, and these are cut into ``radius + 1`` blocks, on one of which two linked
+members agree. Members near it, a ball of near copies, agree on nearly all bits whichever
+are taken; they are dealt out by the few bits in which they leave the centre, their flips.
+Two of w and v flips within the radius share (w + v - radius) / 2 of them or more: one of
+half the radius or less, of which there are few, is compared with all members, and others
+meet under their two smallest shared flips. As fingerprints are distinct, this ends.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterable, Iterator
 
@@ -38,6 +44,11 @@ BLOCKS = 6
 BUCKET_ROWS = 2048
 # Choices of bits have numbers below this.
 PATHS = 128
+# Members with at most this many flips are near the centre of their bucket.
+CORE = 10
+BUCKET = ["path", "key", "flips", "part"]
+# The flips of a bucket that is cut into pieces for want of a better way.
+NO_FLIPS = -1
 
 FULL = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
 # Words compared at a time, and shingles whose votes are counted at a time.
@@ -119,12 +130,105 @@ def _pieces(rows: DataFrame, bucket_rows: int) -> DataFrame:
     rows = rows.select("path", "key", "fp", n.alias("n"), piece.alias("piece"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     part = F.least("piece", "other") * F.col("n") + F.greatest("piece", "other") + 1
-    return rows.select("path", "key", "fp", part.alias("part"))
+    return rows.select("path", "key", F.lit(NO_FLIPS).cast("long").alias("flips"), part.alias("part"), "fp")
+
+
+def _centres(rows: DataFrame) -> DataFrame:
+    """``path, key, centre``: the majority of each bit over the members of a bucket."""
+    ones = [F.sum(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
+    votes = rows.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n"), *ones)
+    bits = [F.when(2 * F.col(f"b{b}") > F.col("n"), F.lit(_signed([b]))).otherwise(F.lit(0)) for b in range(64)]
+    # In two steps: an expression of 64 terms in a row is long for the optimizer.
+    eighths = [f"e{i}" for i in range(8)]
+    halves = {
+        name: functools.reduce(lambda x, y: x.bitwiseOR(y), bits[8 * i : 8 * i + 8])
+        for i, name in enumerate(eighths)
+    }
+    centre = functools.reduce(lambda x, y: x.bitwiseOR(y), map(F.col, eighths))
+    return votes.withColumns(halves).select("path", "key", centre.alias("centre"))
+
+
+def _half(radius: int) -> int:
+    """Of two members that share too few flips, one has at most this many."""
+    return -(-radius // 2)
+
+
+def shared_flips(away: np.ndarray, flips: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and the flips they are dealt out by; ``away`` are the flips of each member,
+    ``flips`` those that all members of its bucket share.
+
+    Two members that are linked, both with more further flips than half the radius, share
+    two of them (one, if both have one more than half of an even radius). They meet under
+    the smallest that they share. These are larger than all of ``flips``, as those are the
+    smallest of all, and lie among the first of each, as many as may be left out.
+    """
+    half = _half(radius)
+    weight = np.bitwise_count(away & ~flips).astype(np.int64)
+    top = flips.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        top |= top >> np.uint64(shift)
+    later = away & ~top
+    need = -((radius - weight - np.maximum(half + 1, weight - radius)) // 2)
+    usable = np.bitwise_count(later).astype(np.int64) - need + 2
+    rows = np.flatnonzero((weight > half) & (later != 0))
+    later, first = later[rows], []
+    while len(first) < radius + 2 and later.any():
+        bit = later & (~later + np.uint64(1))
+        first.append(bit)
+        later = later ^ bit
+    if radius % 2 == 0:
+        single = weight[rows] == half + 1
+        for bit in first:
+            some = single & (bit != 0)
+            yield rows[some], flips[rows[some]] | bit[some]
+    for j in range(1, len(first)):
+        some = (first[j] != 0) & (j < usable[rows])
+        for i in range(j):
+            yield rows[some], flips[rows[some]] | first[i][some] | first[j][some]
+
+
+def _balls(rows: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """Buckets for the members ``path, key, fp, away`` near the centre of theirs, ``away``
+    being the bits in which they leave it.
+
+    A level deals out the buckets above the bound by two more flips; what is left for a
+    member shrinks by two, so levels are few. Each member is in one piece of its bucket,
+    and those with few flips left, whose number has a bound, are in all pieces.
+    """
+    bucket = ["path", "key", "flips"]
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            away = batch.column("away").to_numpy().view(np.uint64)
+            flips = batch.column("flips").to_numpy().view(np.uint64)
+            for some, mask in shared_flips(away, flips, radius):
+                if len(some):
+                    taken = batch.take(pa.array(some))
+                    yield taken.set_column(2, "flips", pa.array(mask.view(np.int64)))
+
+    rows = rows.select("path", "key", F.lit(0).cast("long").alias("flips"), "fp", "away")
+    out = None
+    while True:
+        sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size"))
+        large = written(sizes.filter(F.col("size") > bucket_rows))
+        whole = rows.join(large, bucket, "left_anti").select(*bucket, F.lit(0).cast("long").alias("part"), "fp")
+        out = whole if out is None else out.unionByName(whole)
+        if large.isEmpty():
+            return out
+        members = written(rows.join(large, bucket))
+        n = F.ceil(F.col("size") / bucket_rows)
+        few = F.bit_count(F.col("away").bitwiseAND(F.bitwise_not("flips"))) <= _half(radius)
+        pieces = F.when(few, F.sequence(F.lit(1).cast("long"), n)).otherwise(
+            F.array(F.pmod(F.xxhash64("fp"), n) + 1)
+        )
+        out = out.unionByName(members.select(*bucket, F.explode(pieces).alias("part"), "fp"))
+        rows = members.select(*bucket, "fp", "away")
+        rows = written(rows.mapInArrow(deal, rows.schema))
 
 
 def _dealt(fps: DataFrame, radius: int, blocks: int, bucket_rows: int) -> DataFrame:
-    """``path, key, part, fp``: every two fingerprints within the radius share a bucket,
-    and a bucket has at most about twice ``bucket_rows`` rows."""
+    """``path, key, flips, part, fp``: every two fingerprints within the radius share a
+    bucket, and a bucket has at most about twice ``bucket_rows`` rows."""
     parts = _cut(list(range(64)), blocks)
     choices = [sum(some, []) for some in itertools.combinations(parts, blocks - radius)]
     spent = {i + 1: bits for i, bits in enumerate(choices)}
@@ -132,7 +236,8 @@ def _dealt(fps: DataFrame, radius: int, blocks: int, bucket_rows: int) -> DataFr
         fps.select("fp", F.lit(0).cast("long").alias("path"), F.lit(None).cast("long").alias("size")),
         [(0, i, bits) for i, bits in spent.items()],
     )
-    whole = ["path", "key", "fp", F.lit(0).cast("long").alias("part")]
+    nothing = F.lit(0).cast("long")
+    whole = ["path", "key", nothing.alias("flips"), nothing.alias("part"), "fp"]
     out = None
     while True:
         sizes = rows.groupBy("path", "key").agg(F.count(F.lit(1)).alias("size"), F.first("was").alias("was"))
@@ -144,12 +249,20 @@ def _dealt(fps: DataFrame, radius: int, blocks: int, bucket_rows: int) -> DataFr
             return done if out is None else out.unionByName(done)
         small = rows.join(large, ["path", "key"], "left_anti").select(*whole)
         out = small if out is None else out.unionByName(small)
-        # Dealt out again only where the last time halved it: a ball of near copies, which
-        # agree on nearly all bits, is cut into pieces instead.
+        # Dealt out again by blocks only where the last time halved it; else cut into pieces.
         open_paths = [p for p in paths if 64 - len(spent[p]) > radius]
         shrank = (F.col("was").isNull() | (2 * F.col("size") <= F.col("was"))) & F.col("path").isin(open_paths)
         members = written(rows.drop("was").join(large.withColumn("again", shrank), ["path", "key"]))
-        out = out.unionByName(_pieces(members.filter("NOT again"), bucket_rows))
+        members = members.join(written(_centres(members)), ["path", "key"])
+        members = written(members.withColumn("away", F.col("fp").bitwiseXOR(F.col("centre"))).drop("centre"))
+        # Linked members differ by at most the radius in their distance from the centre,
+        # so each two of them are both near it or both in the rest.
+        flips = F.bit_count("away")
+        out = out.unionByName(_balls(members.filter(flips <= CORE), radius, bucket_rows))
+        far = members.filter(flips > CORE - radius)
+        sizes = far.groupBy("path", "key").agg(F.count(F.lit(1)).alias("far"))
+        far = written(far.join(sizes, ["path", "key"]).drop("away", "size").withColumnRenamed("far", "size"))
+        out = out.unionByName(_pieces(far.filter("NOT again"), bucket_rows))
         finer, deeper = [], {}
         for path in open_paths:
             rest = [b for b in range(64) if b not in spent[path]]
@@ -159,7 +272,7 @@ def _dealt(fps: DataFrame, radius: int, blocks: int, bucket_rows: int) -> DataFr
                 finer.append((path, own, deeper[own]))
         if not finer:
             return out
-        rows, spent = written(_keyed(members.filter("again"), finer)), deeper
+        rows, spent = written(_keyed(far.filter("again"), finer)), deeper
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
@@ -271,16 +384,15 @@ def _links(rows: DataFrame, radius: int) -> DataFrame:
         if held is not None and len(held):
             yield edges(held["fp"].to_numpy(), _starts(held))
 
-    bucket = ["path", "key", "part"]
-    dealt = rows.repartition(*bucket).sortWithinPartitions(*bucket, "fp")
-    return dealt.select(*bucket, "fp").mapInArrow(run, "a long, b long")
+    dealt = rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET, "fp")
+    return dealt.select(*BUCKET, "fp").mapInArrow(run, "a long, b long")
 
 
 def _starts(table: pa.Table) -> np.ndarray:
     """Rows at which a bucket begins."""
     new = np.ones(len(table), bool)
     new[1:] = False
-    for name in ("path", "key", "part"):
+    for name in BUCKET:
         column = table[name].to_numpy()
         new[1:] |= column[1:] != column[:-1]
     return np.flatnonzero(new)

@@ -9,7 +9,15 @@ import brute
 from logintake.llm.blocks import block_hashes, exact_duplicates
 from logintake.llm.components import components
 from logintake.llm.lines import _digests, drop_repeated_chunks
-from logintake.llm.simhash import fingerprint_roots, keep_one, near_duplicates, within
+from logintake.llm.simhash import (
+    BUCKET,
+    _dealt,
+    fingerprint_roots,
+    keep_one,
+    near_duplicates,
+    shared_flips,
+    within,
+)
 
 DOCS = "doc_id long, text string"
 # Null ids and texts, empty texts, ties, repeated rows, and lengths around block borders.
@@ -98,6 +106,62 @@ def test_roots(spark, bucket_rows):
     assert len(set(zip(mine, want))) == len(set(want))
 
 
+def ball(rows: int, seed: int, low: int = 3, high: int = 5, bits: int = 64) -> list[int]:
+    """Distinct fingerprints that leave one centre in ``low`` to ``high`` of their bits."""
+    draw = random.Random(seed)
+    centre, out = draw.getrandbits(64), set()
+    while len(out) < rows:
+        places = draw.sample(range(bits), draw.randint(low, high))
+        out.add(centre ^ sum(1 << b for b in places))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 4])
+def test_shared_flips_meet(radius):
+    """Every two linked members meet, or one of them has few flips left."""
+    import numpy as np
+
+    away = np.array([v ^ 99 for v in ball(400, radius, 0, 9, 14)], np.uint64)
+    for flips in (0, 0b1, 0b101):
+        held = away[away & np.uint64(flips) == np.uint64(flips)]
+        under = {}
+        shared = np.full(len(held), flips, np.uint64)
+        for rows, masks in shared_flips(held, shared, radius):
+            for row, mask in zip(rows.tolist(), masks.tolist()):
+                assert mask not in under.setdefault(row, set())
+                assert mask & flips == flips and int(held[row]) & mask == mask
+                under[row].add(mask)
+        for j, b in enumerate(held.tolist()):
+            for i, a in enumerate(held.tolist()[:j]):
+                rest = ~((1 << flips.bit_length()) - 1)
+                # Those that share a smaller flip meet in another bucket.
+                if (a ^ b).bit_count() > radius or a & b & ~rest & ~flips:
+                    continue
+                few = min((a & ~flips).bit_count(), (b & ~flips).bit_count()) <= -(-radius // 2)
+                assert few or under.get(i, set()) & under.get(j, set())
+
+
+@pytest.mark.parametrize("low, high, bits", [(3, 5, 64), (0, 12, 24), (6, 9, 40)])
+def test_roots_of_a_ball(spark, low, high, bits):
+    values = ball(1500, bits, low, high, bits)
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    got = dict(map(tuple, fingerprint_roots(fps, bucket_rows=50).collect()))
+    want = brute.clusters(values, 4)
+    mine = [got[signed(v)] for v in values]
+    assert len(set(mine)) == len(set(want)) == len(set(zip(mine, want)))
+
+
+def test_a_ball_is_dealt_evenly(spark):
+    """A ball twice as large has about twice the rows in buckets, not four times."""
+    each = []
+    for rows in (15_000, 30_000):
+        fps = spark.createDataFrame([(signed(v),) for v in ball(rows, 7)], "fp long")
+        dealt = _dealt(fps, 4, 6, 256)
+        assert dealt.groupBy(*BUCKET).count().agg(F.max("count")).first()[0] <= 2 * 256 + 2081
+        each.append(dealt.count() / rows)
+    assert each[1] < 1.25 * each[0]
+
+
 def test_near_duplicates(spark):
     base = "the quick brown fox jumps over the lazy dog and runs far away from here to there again and again".split()
     rows = [(i, " ".join(w if k != 3 * i else "other" for k, w in enumerate(base * 4))) for i in range(1, 12)]
