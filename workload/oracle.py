@@ -403,6 +403,7 @@ UNION ALL SELECT 'audit', 0
 UNION ALL SELECT 'urgent', count(*) FROM messages WHERE severity = 0
 UNION ALL SELECT 'syslog', count(*) FROM messages WHERE severity <> 0""",
     "intake_batch": MESSAGE_ROWS,
+    "write_database": MESSAGE_ROWS,
     "intake_dispatch": ERROR_ROWS,
     "intake_gated": f"SELECT *, 'None 0 None' AS batches FROM ({ERROR_ROWS})",
     "stream_gated": f"SELECT *, '0 1 1 2' AS batches FROM ({ERROR_ROWS})",

@@ -30,6 +30,7 @@ from logintake.operators.route import (
     valid_messages,
 )
 from logintake.operators.rules import table_actions
+from logintake.plans.databases import database_writer, read_database
 from logintake.plans.dispatch import dispatch
 from logintake.plans.intake import intake, parse_lines
 from logintake.plans.tables import by_day, parquet_writer, read_table, write_tables
@@ -635,6 +636,17 @@ def _versioned(spark, sf_dir) -> str:
     return root
 
 
+def databases(spark, sf_dir):
+    """The lines in three batches, the last one twice, as database files that are read back."""
+    root = shared_folder(spark)
+    lines = mixed_lines(spark, sf_dir)
+    for number in (0, 1, 2, 2):
+        some = lines.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == number)
+        intake(some, root, ref_time=REF_TIME, ingest_time=_ingest_time(), batch_id=number, col="line",
+               keep="cache", writer=database_writer)
+    return _naive(read_database(spark, root, "syslog").select(*MESSAGE_COLUMNS))
+
+
 def one_day(spark, sf_dir):
     """The rows of each day, read from the files of that day alone: their least and
     greatest day, and whether the list has files of one day only."""
@@ -798,6 +810,7 @@ ALL = {
     "daily_layout": daily_layout,
     "daily_files": one_day,
     "compact_day": compacted,
+    "write_database": databases,
     "ingest_stream": ingest,
     "chunk_stream": chunks_in_stream,
     "chunk_stream_timers": chunks_by_timers,
