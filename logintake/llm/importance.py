@@ -229,19 +229,25 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
 class Classifier:
     """A fitted model with the key that a document must reach.
 
-    ``scores`` is a written table of the id, weight and key of every document.
+    ``scores`` has the id, weight and key of every document. ``rows`` is the written table
+    it is read from; with ``whole`` that holds all columns of ``docs``, so that the drawn
+    rows need not be scored again.
     """
 
     def __init__(
         self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        sample: int = SAMPLE, buckets: int = BUCKETS,
+        sample: int = SAMPLE, buckets: int = BUCKETS, whole: bool = False,
     ) -> None:
-        self.id_col, self.text_col = id_col, text_col
         labelled = label_sample(labels, sample)
-        self.ratio = fit(docs, labelled, id_col, text_col, buckets)
-        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        rows = with_keys(rows, self.ratio, "doc_id", "text", "log_weight", "key")
-        self.scores = written(rows.select("doc_id", "log_weight", "key"))
+        ratio = fit(docs, labelled, id_col, text_col, buckets)
+        self.columns = [*docs.columns] if whole else [id_col]
+        weight, key = fresh(docs, "weight", "key")
+        rows = with_keys(docs if whole else docs.select(id_col, text_col), ratio, id_col, text_col, weight, key)
+        self.rows = written(rows.select(*self.columns, weight, key))
+        self.key = key
+        self.scores = self.rows.select(
+            F.col(id_col).cast("long").alias("doc_id"), F.col(weight).alias("log_weight"), F.col(key).alias("key")
+        )
         held = labelled.filter("NOT fit").withColumnRenamed("label_id", "doc_id")
         judged = self.scores.join(F.broadcast(held), "doc_id").groupBy("doc_id").agg(
             F.min("log_weight"), F.min("good")
@@ -251,11 +257,9 @@ class Classifier:
         self.k = self.scores.filter(F.col("log_weight") >= F.lit(self.cut)).count()
         self.least = kth_largest(self.scores, "key", self.k)
 
-    def keep(self, docs: DataFrame) -> DataFrame:
-        """The rows that are drawn, with all their columns."""
-        weight, key = fresh(docs, "weight", "key")
-        rows = with_keys(docs, self.ratio, self.id_col, self.text_col, weight, key)
-        return rows.filter(F.col(key) >= F.lit(self.least)).drop(weight, key)
+    def drawn(self) -> DataFrame:
+        """The rows that are drawn."""
+        return self.rows.filter(F.col(self.key) >= F.lit(self.least)).select(*self.columns)
 
 
 def importance_sample(
@@ -271,3 +275,11 @@ def importance_sample(
     """
     model = Classifier(docs, labels, id_col, text_col, sample, buckets)
     return model.scores.withColumn("kept", F.col("key") >= F.lit(model.least))
+
+
+def keep_sample(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    sample: int = SAMPLE, buckets: int = BUCKETS,
+) -> DataFrame:
+    """The rows of ``docs`` that ``importance_sample`` keeps, with all their columns."""
+    return Classifier(docs, labels, id_col, text_col, sample, buckets, whole=True).drawn()

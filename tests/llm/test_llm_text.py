@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from logintake.llm.importance import Classifier, Grams, best_cut, importance_sample, kth_largest, log_ratio
+from logintake.llm.importance import Classifier, Grams, best_cut, importance_sample, keep_sample, kth_largest, log_ratio
 from logintake.llm.preference import preference_pairs, preference_turns
 from logintake.llm.secrets import secret_scan
 from logintake.llm.seeds import MASKS, WINDOW, best_window, decontaminate, leaks
@@ -181,10 +181,11 @@ def test_held_out_accuracy(spark):
     assert wrong <= 0.03 * len(held)
     assert rows[5000].log_weight == rows[5001].log_weight == rows[None].log_weight == 0 and rows[5000].kept
     assert got.count() == len(docs) + 4
-    model = Classifier(table, known)
-    kept = model.keep(table)
+    model = Classifier(table, known, whole=True)
+    kept = keep_sample(table, known)
     assert kept.columns == table.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted(r.doc_id or -1 for r in got.filter("kept").collect())
+    assert sorted(map(str, model.drawn().collect())) == sorted(map(str, kept.collect()))
     # k of them, and those that tie with the k-th.
     assert model.k <= kept.count() <= model.k + 1
 
@@ -196,6 +197,7 @@ def test_importance_without_labels_or_rows(spark):
     nulls = spark.createDataFrame([(None, 1, 0), (1, None, 0), (2, 1, None), (2, 1, 0)], LABELS)
     assert importance_sample(table, nulls).filter("kept").count() == 20
     assert importance_sample(table.limit(0), spark.createDataFrame(labels, LABELS)).count() == 0
+    assert keep_sample(table.limit(0), none).count() == 0 and keep_sample(table, none).count() == 20
 
 
 TURNS = "pair_id long, turn long, role string, text string"
