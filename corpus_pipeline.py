@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logintake.llm.importance import Classifier
+from logintake.llm.importance import keep_sample
 from logintake.llm.lines import drop_repeated_chunks
 from logintake.llm.queries import tokenizer_file
 from logintake.llm.packing import pack
@@ -23,7 +23,7 @@ from logintake.session import written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the importance sample leaves out."""
-    return Classifier(docs, read(spark, sf_dir, "labels")).keep(docs)
+    return keep_sample(docs, read(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
