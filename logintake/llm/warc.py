@@ -134,7 +134,8 @@ def write_archives(
     the captures ``key, page_id, file, offset, length``.
 
     Of equal payloads of at least ``least_bytes`` bytes the page with the largest id is
-    the response and the others revisit it. A null id is smaller than all others; rows
+    the response and the others revisit it. Payloads are equal if their SHA-1 is, the digest
+    that a revisit record names; two made to collide would count as one. A null id is smaller than all others; rows
     that repeat the largest id are all responses. A null payload is empty. No rows give
     no captures.
     """
