@@ -1,10 +1,11 @@
 """Accept/reject rules as a table, for more rules than an expression can hold.
 
 A wildcard is split at its first and last * or ?: it begins with a literal text and ends
-with one. Rules are found by the longer of the two. The texts of all rules make a tree by
-their lengths: of each distinct value those beginnings and ends are looked up that are as
-long as some rule's text. What is found is compared with the whole wildcard, and the rule
-with the smallest number wins. A rule without any wildcard is its own beginning.
+with one. Of rules with the same wildcard only the first counts. A rule is found by the
+longer of its two texts, and by as much of the other as a power of two holds. So of each
+distinct value those beginnings and ends are looked up that are as long as some rule's.
+What is found is compared with the whole wildcard, and the rule with the smallest number
+wins. A rule without any wildcard is its own beginning.
 """
 
 from __future__ import annotations
@@ -15,24 +16,32 @@ from pyspark.sql import functions as F
 from logintake.operators.route import ACCEPT, REJECT
 from logintake.session import written
 
-BEGIN, END = "begin", "end"
+def _part(length):
+    """The largest power of two up to a length; 0 of nothing."""
+    return F.when(length > 0, F.pow(F.lit(2), F.floor(F.log2(length))).cast("int")).otherwise(0)
 
 
 def split_rules(rules: DataFrame, number: str = "number", wildcard: str = "wildcard", action: str = "action") -> DataFrame:
-    """``number, action, side, text, pattern, sure``: where the literal text stands that a
-    rule is found by, the LIKE pattern, and whether the text alone decides."""
-    rule = F.col(wildcard)
+    """One row per wildcard, of its first rule: ``number, action``, the LIKE ``pattern``, the
+    literal texts ``head`` and ``tail``, how much of them the rule is found by (``n_head``
+    and ``n_tail``), the only ``size`` of a value that it matches (null with a *), and
+    whether texts and size alone decide (``sure``)."""
+    rule = F.col("wildcard")
+    first = F.min(F.struct(F.col(number).cast("long").alias("number"), F.col(action).alias("action"))).alias("first")
+    rules = rules.groupBy(F.col(wildcard).alias("wildcard")).agg(first)
     head = F.regexp_extract(rule, r"^[^*?]*", 0)
-    tail = F.regexp_extract(rule, r"[^*?]*\z", 0)
-    at_end = F.length(tail) > F.length(head)
-    text = F.when(at_end, tail).otherwise(head)
-    pattern = F.regexp_replace(rule, r"([\\%_])", r"\\$1")
-    pattern = F.translate(pattern, "*?", "%_")
-    sure = F.when(at_end, rule == F.concat(F.lit("*"), tail)).otherwise(rule == F.concat(head, F.lit("*")))
+    # All of a rule without wildcards is its beginning.
+    tail = F.when(head == rule, "").otherwise(F.regexp_extract(rule, r"[^*?]*\z", 0))
+    pattern = F.translate(F.regexp_replace(rule, r"([\\%_])", r"\\$1"), "*?", "%_")
+    begins, ends = F.length("head"), F.length("tail")
     return rules.select(
-        F.col(number).cast("long").alias("number"), F.col(action).alias("action"),
-        F.when(at_end, END).otherwise(BEGIN).alias("side"), text.alias("text"), pattern.alias("pattern"), sure.alias("sure"),
-    )
+        "first.number", "first.action", pattern.alias("pattern"), head.alias("head"), tail.alias("tail"),
+        F.when(~F.contains(rule, F.lit("*")), F.length(rule)).alias("size"),
+        ((rule == head) | (rule == F.concat(head, F.lit("*"), tail))).alias("sure"),
+    ).withColumns({
+        "n_head": F.when(ends > begins, _part(begins)).otherwise(begins),
+        "n_tail": F.when(ends > begins, ends).otherwise(_part(ends)),
+    })
 
 
 def table_actions(
@@ -54,25 +63,27 @@ def table_actions(
     if wrong is not None:
         raise ValueError(f"unknown action {wrong[action]!r}, expected accept or reject")
     split = written(split_rules(known, number, wildcard, action))
-    # Lengths of the texts on each side: as many as there are different ones, at most the
-    # length of the longest rule, whatever the number of rules.
-    sizes = split.select("side", F.length("text").alias("size")).distinct().collect()
-    values = written(df.select(F.col(col).alias("value")).filter(F.col(col).isNotNull()).distinct())
-    found = None
-    for side, cut in ((BEGIN, F.left), (END, F.right)):
-        lengths = sorted(r["size"] for r in sizes if r["side"] == side)
-        if not lengths:
-            continue
-        keys = F.explode(F.array(*[F.struct(F.lit(n).alias("n")) for n in lengths])).alias("key")
-        looked = values.select("value", keys).filter(F.length("value") >= F.col("key.n"))
-        looked = looked.select("value", cut(F.col("value"), F.col("key.n")).alias("text"))
-        own = split.filter(F.col("side") == side).drop("side")
-        hit = looked.join(own, "text").filter(F.col("sure") | F.expr("value LIKE pattern"))
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:
+    # Lengths of what rules are found by: as many as there are different ones, at most the
+    # length of the longest rule times its logarithm, whatever the number of rules.
+    sizes = split.select("n_head", "n_tail").distinct().collect()
+    if not sizes:
         return df.withColumn(name, F.lit(default))
+    values = written(df.select(F.col(col).alias("value")).filter(F.col(col).isNotNull()).distinct())
+    lengths = F.explode(F.array(*[F.struct(F.lit(r.n_head).alias("n_head"), F.lit(r.n_tail).alias("n_tail")) for r in sizes]))
+    value = F.col("value")
+    looked = values.select("value", F.length("value").alias("length"), lengths.alias("n")).select("value", "length", "n.*")
+    looked = looked.filter("n_head + n_tail <= length").withColumns(
+        {"begin": F.left(value, F.col("n_head")), "end": F.right(value, F.col("n_tail"))}
+    )
+    own = split.withColumns(
+        {"begin": F.left("head", F.col("n_head")), "end": F.right("tail", F.col("n_tail"))}
+    )
+    hit = looked.join(own, ["n_head", "n_tail", "begin", "end"])
+    hit = hit.filter(F.expr("size = length OR size IS NULL AND length(head) + length(tail) <= length"))
+    hit = hit.filter(value.startswith(F.col("head")) & value.endswith(F.col("tail")))
+    hit = hit.filter(F.col("sure") | F.expr("value LIKE pattern"))
     first = F.min(F.struct("number", "pattern", "action"))
-    best = written(found.groupBy("value").agg(first.alias("rule")).select(
+    best = written(hit.groupBy("value").agg(first.alias("rule")).select(
         F.col("value").alias("_value"), F.col("rule.action").alias("_action")
     ))
     # The rows on the left: a value that most of them have can then be split.

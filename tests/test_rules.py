@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logintake.operators.route import rule_action
-from logintake.operators.rules import table_actions, table_filter
+from logintake.operators.rules import split_rules, table_actions, table_filter
 
 RULES = "number long, wildcard string, action string"
 
@@ -65,3 +65,25 @@ def test_unknown_action(spark):
     df, rules = spark.createDataFrame([("a",)], "cn string"), spark.createDataFrame([(1, "a", "keep")], RULES)
     with pytest.raises(ValueError, match="keep"):
         table_actions(df, "cn", rules)
+
+
+def test_rules_are_found_by_both_their_texts(spark):
+    """Rules that share their longer text, and such that come many times."""
+    df = spark.range(400).select(F.concat(F.lit("zone-"), "id").alias("cn"))
+    rules = spark.range(4000).select(
+        (4000 - F.col("id")).alias("number"),
+        F.concat(F.lit("zone-*"), F.col("id") % 500).alias("wildcard"),
+        F.when(F.col("id") % 3 == 0, "accept").otherwise("reject").alias("action"),
+    )
+    split = split_rules(rules)
+    assert split.count() == 500
+    assert split.groupBy(F.left("head", F.col("n_head")), F.right("tail", F.col("n_tail"))).count().agg(F.max("count")).first()[0] <= 40
+    rows = sorted(map(tuple, rules.collect()))
+    got = {r.cn: r.action for r in table_actions(df, "cn", rules).collect()}
+    ends = {}
+    for _, wildcard, action in rows:
+        ends.setdefault(wildcard[6:], action)
+    for cn, action in got.items():
+        number = {w: n for n, w, _ in reversed(rows)}
+        mine = [w for w in ends if cn[5:].endswith(w)]
+        assert action == (ends[min(mine, key=lambda w: number[f"zone-*{w}"])] if mine else "reject"), cn
