@@ -4,6 +4,7 @@ A window per key puts all rows of a key into one task. Here a key that holds
 more than a fixed number of rows is cut into slices of its order first.
 Windows then run per slice, and what a slice needs to know of the rows before
 it (the carry) comes from one summary row per slice. Other keys are one slice.
+Slices are no tasks: a task cuts as many as its share of the rows holds.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ SLICE = "_slice"
 # A key above this many rows is cut, and a slice has about as many.
 SLICE_ROWS = 1_000_000
 
+# Slices there are at most; beyond it they grow with the rows. Their summaries pass
+# through one task, and the carries are sent to all tasks.
+MAX_SLICES = 100_000
+
 # Hot keys are sent to all tasks up to this number; more are joined by a shuffle.
 BROADCAST_KEYS = 100_000
 
@@ -29,6 +34,9 @@ TIE = "_tie"
 # Slice numbers of keys that were not cut, and of state from before the first row.
 WHOLE, EARLIER = -1, -2
 
+# Bits of a row's place within its task, as monotonically_increasing_id has them.
+PLACES = (1 << 33) - 1
+
 
 _OTHER = "_other_"
 
@@ -52,31 +60,36 @@ def in_slices(
 
     Slices ascend along ``order`` within a key; rows that are equal in it are
     dealt out by their number. ``hot_rows`` overrides the size above which a key
-    is cut, which is also that of a slice: the number of slices follows the rows.
+    is cut, which is also that of a slice, if that makes no more than MAX_SLICES.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    largest = sizes.agg(F.max("_n")).first()[0]
     limit = hot_rows or SLICE_ROWS
-    whole = df.withColumn(SLICE, F.lit(WHOLE))
+    whole = df.withColumn(SLICE, F.lit(WHOLE).cast("bigint"))
     if (largest or 0) <= limit:
         return whole, False
 
+    hot = written(sizes.filter(F.col("_n") > limit))
+    n_hot, rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
     cut = df
     if keys:
-        # Fewer than rows / limit keys are hot.
-        hot = written(sizes.filter(F.col("_n") > limit).select(*keys))
-        hot = _other(hot, keys)
-        if rows // limit <= BROADCAST_KEYS:
+        hot = _other(hot.select(*keys), keys)
+        if n_hot <= BROADCAST_KEYS:
             hot = F.broadcast(hot)
         cut = df.join(hot, _same(keys), "left_semi")
         whole = whole.join(hot, _same(keys), "left_anti")
-    slices = max(1, -(-rows // limit))
-    cut = cut.withColumn(TIE, F.monotonically_increasing_id())
-    cut = cut.repartitionByRange(slices, *keys, *order, TIE).drop(TIE).withColumn(
-        SLICE, F.spark_partition_id()
+    size = max(limit, -(-rows // MAX_SLICES))
+    # Tasks follow the rows, however small a slice is.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(-(-rows // size), max(cores, -(-rows // SLICE_ROWS)))
+    cut = cut.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(tasks, *keys, *order, TIE)
+    # The number of a row has that of its task above these bits, and its place below.
+    place = F.monotonically_increasing_id()
+    cut = cut.sortWithinPartitions(*keys, *order, TIE).withColumn("_place", place).withColumn(
+        SLICE, F.expr(f"(_place & ~{PLACES}L) | ((_place & {PLACES}L) div {size})")
     )
     # Range bounds are sampled, so the slices have to be computed once only.
-    cut = written(cut)
+    cut = written(cut.drop(TIE, "_place"))
     return (whole.unionByName(cut) if keys else cut), True
 
 
@@ -110,7 +123,7 @@ def carried(
         *[column.alias(name) for name, column in summary.items()]
     )
     if earlier is not None:
-        sums = sums.unionByName(earlier.withColumn(SLICE, F.lit(EARLIER)))
+        sums = sums.unionByName(earlier.withColumn(SLICE, F.lit(EARLIER).cast("bigint")))
     known = F.lit(False)
     for name in carry_columns:
         known = known | F.col(name).isNotNull()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logintake.operators.chunk import chunk_manifest, chunk_messages, left_open
 from logintake.operators.clock import unique_micros
 from logintake.operators.manifest import next_batch, spool_audit, spool_manifest
+from logintake.operators import ordered
 from logintake.operators.ordered import in_slices
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -174,3 +175,24 @@ def test_slices_follow_the_rows_and_split_ties(spark):
     assert cut and sum(sizes) == 20_000 and max(sizes) <= 2000 and len(sizes) >= 15
     spans = got.groupBy("_slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy("_slice").collect()
     assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_small_slices_need_no_task_each(spark):
+    """Many slices of few rows are cut by few tasks, and there is a bound to them."""
+    rows = spark.range(5000).selectExpr("id % 2 AS k", "id % 7 AS t")
+    got, cut = in_slices(rows, ["k"], ["t"], hot_rows=5)
+    # One file per task, and those of the list of hot keys.
+    assert cut and len(got.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in got.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 5 and len(sizes) >= 1000
+    # In each key, slices ascend along the order.
+    spans = got.groupBy("k", "_slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy("k", "_slice").collect()
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]) if a.k == b.k)
+
+
+def test_slices_grow_beyond_their_number(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_SLICES", 10)
+    rows = spark.range(5000).selectExpr("1L AS k", "id % 7 AS t")
+    got, cut = in_slices(rows, ["k"], ["t"], hot_rows=5)
+    sizes = [r["count"] for r in got.groupBy("_slice").count().collect()]
+    assert cut and sum(sizes) == 5000 and max(sizes) <= 500 and len(sizes) <= 10 + spark.sparkContext.defaultParallelism
