@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, if a given file comes in fewer parts than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    """Rows over all cores, if a given file leaves them in the hands of a few.
+
+    A file may come in many parts and yet have all its rows in one or two of them, as a
+    row group is read whole. So it is rows that count, which the footers tell.
+    """
+    if df.isStreaming:
+        return df
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    held = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    rows, most = held.agg(F.sum("n"), F.max("n")).first()
+    if parts >= cores and (most or 0) * cores <= 2 * (rows or 0):
         return df
-    return df.repartition(cores)
+    return df.repartition(max(cores, parts))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,10 +71,20 @@ def mixed_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return parts.select("event_id", *keep, F.expr(MIXED).alias("line"))
 
 
+# Shapes rendered by one generated method: one of more than 8000 bytes is never compiled.
+SHAPES_AT_ONCE = 8
+
+
 def in_shapes(parts: DataFrame, shapes: dict[str, str], *keep: str) -> DataFrame:
     """Each row once per shape; ``shapes`` maps a name to a SQL expression."""
     made: list[Column] = [
         F.struct(F.lit(name).alias("shape"), F.expr(sql).alias("line"))
         for name, sql in shapes.items()
     ]
-    return parts.select(*keep, F.explode(F.array(*made)).alias("made")).select(*keep, "made.*")
+    groups = []
+    for at in range(0, len(made), SHAPES_AT_ONCE):
+        # A generator of one row ends a generated method, as in the parser.
+        groups.append(f"_made_{at}")
+        some = F.struct(F.array(*made[at : at + SHAPES_AT_ONCE]).alias(groups[-1]))
+        parts = parts.select("*", F.inline(F.array(some)))
+    return parts.select(*keep, F.explode(F.concat(*groups)).alias("made")).select(*keep, "made.*")
