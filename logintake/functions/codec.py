@@ -28,9 +28,10 @@ NAMED_ESCAPES = [
 # Stands for a pair of backslashes while the other escapes are replaced.
 MARK = "\x01"
 
-# What may stand in a line as itself, and one valid escape.
+# What may stand in a line as itself, and a backslash out of place.
 PLAIN = r"[ -\[\]-~]"
-ESCAPE = r"\\(?:[abtnvfr\\]|x[0-9A-Fa-f]{2})"
+# After whole pairs, a last backslash that begins nothing.
+MALFORMED = r"(?:^|[^\\])(?:\\\\)*+\\(?![abtnvfr]|x[0-9A-Fa-f]{2})"
 
 # Tokens are found one after the other. Bounded, possessive repetition keeps
 # the regex engine off the Java stack however long the line is.
@@ -91,9 +92,7 @@ def _meaning(token: Column, literal: Column) -> Column:
 def escape_valid(col: Column | str) -> Column:
     """False where a backslash does not start a valid escape."""
     col = _column(col)
-    return ~F.contains(col, F.lit("\\")) | ~F.contains(
-        F.regexp_replace(col, ESCAPE, ""), F.lit("\\")
-    )
+    return ~F.contains(col, F.lit("\\")) | ~F.rlike(col, F.lit(MALFORMED))
 
 
 def unescape(col: Column | str) -> Column:
@@ -123,9 +122,9 @@ def unescape(col: Column | str) -> Column:
 
     return (
         F.when(~F.contains(col, slash), col)
+        .when(~escape_valid(col), col)
         .when(printable & ~F.contains(named, slash), F.replace(named, F.lit(MARK), slash))
         .when(printable & F.coalesce(clean, F.lit(False)), from_url)
-        .when(~escape_valid(col), col)
         .when(F.is_valid_utf8(col), decoded(col, lambda t: t))
         # Any other line is read with one character per byte.
         .otherwise(decoded(bytes_as_chars(col), lambda t: chars_as_bytes(t).cast("string")))

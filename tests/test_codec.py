@@ -1,8 +1,13 @@
+import random
+import re
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from logintake.functions.codec import NAMED_ESCAPES, escape, escape_valid, unescape
+from logintake.functions.codec import _RUN, NAMED_ESCAPES, escape, escape_valid, unescape
+from workload.queries import unescape_invalid
+from workload.shapes import BAD_ESCAPES
 
 SPELLED = {ord(byte): text for byte, text in NAMED_ESCAPES}
 
@@ -64,3 +69,22 @@ def test_very_long_lines(spark):
     assert sorted(got) == sorted(["A" * 300_000, "\\" * 300_000, "a\n" * 300_000, "a" * 1_000_000])
     back = df.select(unescape(escape(F.col("s")))).collect()
     assert sorted(r[0] for r in back) == sorted(long)
+
+
+def test_valid_lines_are_those_of_whole_escapes(spark):
+    draw = random.Random(3)
+    made = ["".join(draw.choice(["\\", "\\", "x", "4", "f", "g", "n", "é", " "]) for _ in range(draw.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(s,) for s in made], "s string")
+    whole = re.compile(r"(?:[^\\]|\\(?:[abtnvfr\\]|x[0-9A-Fa-f]{2}))*")
+    for row in df.select("s", unescape(F.col("s")).alias("u"), escape_valid(F.col("s")).alias("v")).collect():
+        assert row.v == bool(whole.fullmatch(row.s)), row.s
+        assert row.v or row.u == row.s
+
+
+def test_documents_are_escaped_once_for_all_endings(spark, tmp_path):
+    """Below the generator that makes a row for each ending."""
+    spark.createDataFrame([(1, "a\té")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = unescape_invalid(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index(_RUN)
+    assert sorted(r.line for r in out.collect()) == sorted(r"a\t\xC3\xA9" + e for e in BAD_ESCAPES.values())

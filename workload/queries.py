@@ -316,10 +316,11 @@ def unescape_invalid(spark, sf_dir):
         *[F.struct(F.lit(n).alias("ending"), F.lit(e).alias("tail"))
           for n, e in shapes.BAD_ESCAPES.items()]
     )
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.explode(ends).alias("end")
+    # Escaped before the generator, so once for all endings.
+    docs = table(spark, sf_dir, "documents").select("doc_id", escape("text").alias("escaped"))
+    lines = docs.select("doc_id", "escaped", F.explode(ends).alias("end")).select(
+        "doc_id", "end.ending", F.concat("escaped", "end.tail").alias("line")
     )
-    lines = docs.select("doc_id", "end.ending", F.concat(escape("text"), "end.tail").alias("line"))
     return lines.select(
         "doc_id", "ending",
         unescape(F.col("line")).alias("line"), escape_valid(F.col("line")).alias("valid"),
