@@ -21,6 +21,9 @@ SLICE = "_slice"
 # A key above this many rows is cut, and a slice has about as many.
 SLICE_ROWS = 1_000_000
 
+# Bytes of texts above which a key is cut, too, whatever its rows. So many are read by a task.
+SLICE_BYTES = 64 << 20
+
 # Slices there are at most; beyond it they grow with the rows. Their summaries pass
 # through one task, and the carries are sent to all tasks.
 MAX_SLICES = 100_000
@@ -53,6 +56,15 @@ def _same(names: list[str]) -> Column:
     return condition
 
 
+def _text_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's strings and binaries."""
+    size = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        if field.dataType.typeName() in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    return size
+
+
 def in_slices(
     df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None
 ) -> tuple[DataFrame, bool]:
@@ -61,16 +73,17 @@ def in_slices(
     Slices ascend along ``order`` within a key; rows that are equal in it are
     dealt out by their number. ``hot_rows`` overrides the size above which a key
     is cut, which is also that of a slice, if that makes no more than MAX_SLICES.
+    A key of long texts is cut by their bytes.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(_text_bytes(df)).alias("_bytes"))
     limit = hot_rows or SLICE_ROWS
+    large = (F.col("_n") > limit) | (F.col("_bytes") > SLICE_BYTES)
     whole = df.withColumn(SLICE, F.lit(WHOLE).cast("bigint"))
-    if (largest or 0) <= limit:
+    if not sizes.agg(F.max(large)).first()[0]:
         return whole, False
 
-    hot = written(sizes.filter(F.col("_n") > limit))
-    n_hot, rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    hot = written(sizes.filter(large))
+    n_hot, rows, held = hot.agg(F.count(F.lit(1)), F.sum("_n"), F.sum("_bytes")).first()
     cut = df
     if keys:
         hot = _other(hot.select(*keys), keys)
@@ -78,10 +91,11 @@ def in_slices(
             hot = F.broadcast(hot)
         cut = df.join(hot, _same(keys), "left_semi")
         whole = whole.join(hot, _same(keys), "left_anti")
-    size = max(limit, -(-rows // MAX_SLICES))
+    parts = max(-(-rows // SLICE_ROWS), -(-held // SLICE_BYTES))
+    size = max(min(limit, -(-rows // parts)), -(-rows // MAX_SLICES))
     # Tasks follow the rows, however small a slice is.
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(-(-rows // size), max(cores, -(-rows // SLICE_ROWS)))
+    tasks = min(-(-rows // size), max(cores, parts))
     cut = cut.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(tasks, *keys, *order, TIE)
     # The number of a row has that of its task above these bits, and its place below.
     place = F.monotonically_increasing_id()

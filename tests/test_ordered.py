@@ -196,3 +196,15 @@ def test_slices_grow_beyond_their_number(spark, monkeypatch):
     got, cut = in_slices(rows, ["k"], ["t"], hot_rows=5)
     sizes = [r["count"] for r in got.groupBy("_slice").count().collect()]
     assert cut and sum(sizes) == 5000 and max(sizes) <= 500 and len(sizes) <= 10 + spark.sparkContext.defaultParallelism
+
+
+def test_a_key_of_long_texts_is_cut_by_their_bytes(spark, monkeypatch):
+    """No task gets all the texts of a key that has few rows."""
+    monkeypatch.setattr(ordered, "SLICE_BYTES", 20_000)
+    rows = spark.range(600).selectExpr("1L AS user_id", "id AS event_id", "timestamp_seconds(id) AS ts", "repeat('x', 1000) AS text")
+    got, cut = in_slices(rows, ["user_id"], ["ts"])
+    sizes = [r["count"] for r in got.groupBy("_slice").count().collect()]
+    assert cut and sum(sizes) == 600 and max(sizes) <= 40
+    want = {r.event_id: (r.event_id // 7, r.event_id % 7) for r in rows.select("event_id").collect()}
+    out = chunk_messages(rows, "user_id", "ts", "event_id", max_logs=7).collect()
+    assert {r.event_id: (r.part, r.line_no) for r in out} == want and {len(r.text) for r in out} == {1000}
