@@ -82,8 +82,9 @@ def in_slices(
     if not sizes.agg(F.max(large)).first()[0]:
         return whole, False
 
+    rows = sizes.agg(F.sum("_n")).first()[0]
     hot = written(sizes.filter(large))
-    n_hot, rows, held = hot.agg(F.count(F.lit(1)), F.sum("_n"), F.sum("_bytes")).first()
+    n_hot, n_cut, held = hot.agg(F.count(F.lit(1)), F.sum("_n"), F.sum("_bytes")).first()
     cut = df
     if keys:
         hot = _other(hot.select(*keys), keys)
@@ -92,18 +93,21 @@ def in_slices(
         cut = df.join(hot, _same(keys), "left_semi")
         whole = whole.join(hot, _same(keys), "left_anti")
     parts = max(-(-rows // SLICE_ROWS), -(-held // SLICE_BYTES))
-    size = max(min(limit, -(-rows // parts)), -(-rows // MAX_SLICES))
+    slices = min(max(-(-rows // limit), parts), MAX_SLICES, n_cut)
     # Tasks follow the rows, however small a slice is.
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(-(-rows // size), max(cores, parts))
+    tasks = min(slices, max(cores, parts))
     cut = cut.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(tasks, *keys, *order, TIE)
-    # The number of a row has that of its task above these bits, and its place below.
-    place = F.monotonically_increasing_id()
-    cut = cut.sortWithinPartitions(*keys, *order, TIE).withColumn("_place", place).withColumn(
-        SLICE, F.expr(f"(_place & ~{PLACES}L) | ((_place & {PLACES}L) div {size})")
-    )
-    # Range bounds are sampled, so the slices have to be computed once only.
-    cut = written(cut.drop(TIE, "_place"))
+    cut = cut.sortWithinPartitions(*keys, *order, TIE).drop(TIE)
+    # Range bounds are sampled, so the ranges have to be computed once only.
+    place = F.monotonically_increasing_id().alias("_place")
+    cut = written(cut.select("*", F.spark_partition_id().alias("_task"), place))
+    # Rows before those of a task: one number for each.
+    counts = cut.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_task", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    number = f"(_before + (_place & {PLACES}L)) * {slices} div {n_cut}"
+    cut = cut.join(F.broadcast(before), "_task").withColumn(SLICE, F.expr(number)).drop("_task", "_place", "_before")
     return (whole.unionByName(cut) if keys else cut), True
 
 
