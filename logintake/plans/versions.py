@@ -29,6 +29,8 @@ from logintake.sources.files import filesystem, list_files
 LIVE, DATA = "_live", "data"
 FILE = "file string, day date, batches array<string>, bytes long"
 TARGET_BYTES = 256 << 20
+# Bytes of bins that a task of a compaction takes, if there are more than its cores keep busy.
+TASK_BYTES = 32 << 20
 # Times that a change is tried again on the version that another one has made.
 TRIES = 20
 
@@ -144,6 +146,19 @@ def bins(files: DataFrame, target_bytes: int, hot_rows: int | None = None) -> Da
     return out.select("file", "day", F.floor(first / F.lit(target_bytes)).cast("int").alias("bin"))
 
 
+def dealt_out(packed: DataFrame, total_bytes: int) -> tuple[DataFrame, int]:
+    """The bins given to tasks: ``day, bin, _task``, and how many tasks. They follow the
+    bytes, however many days there are. Bins of a day are in different tasks, so a task,
+    which makes a file for each day, makes one of each bin."""
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    found = packed.select("day", "bin").distinct()
+    count, most = found.groupBy("day").count().agg(F.sum("count"), F.max("count")).first()
+    tasks = min(count, max(most, 2 * cores, -(-total_bytes // TASK_BYTES)))
+    # About one number for each ``target_bytes`` and day; those of a day are in a row.
+    number = F.row_number().over(Window.orderBy("day", "bin")) - 1
+    return found.withColumn("_task", number % tasks), tasks
+
+
 def compact(
     spark: SparkSession, root: str, table: str, days: list[dt.date] | None = None,
     target_bytes: int = TARGET_BYTES, hot_rows: int | None = None,
@@ -165,20 +180,16 @@ def compact(
     if small.isEmpty():
         return None
     packed = written(bins(small, target_bytes, hot_rows))
-    # A number for each bin: about one per ``target_bytes`` and day.
-    numbered = packed.select("day", "bin").distinct().withColumn(
-        "_task", F.row_number().over(Window.orderBy("day", "bin")) - 1
-    )
+    numbered, tasks = dealt_out(packed, small.agg(F.sum("bytes")).first()[0])
     numbered = written(packed.join(numbered, ["day", "bin"]).select(F.col("file").alias("_file"), "day", "_task"))
-    count = numbered.agg(F.max("_task")).first()[0] + 1
     schema = _schema(spark, root, table)
-    # The file of each row tells its bin; a task makes one file of one bin.
+    # The file of each row tells its bin.
     paths = [f"{found.path}/{DATA}/{r.file}" for r in small.select("file").collect()]
     rows = spark.read.schema(schema).parquet(*paths).select(
         "*", F.regexp_extract("_metadata.file_path", f"/{DATA}/([0-9a-f]{{32}}/.+)$", 1).alias("_file")
     )
     rows = rows.join(numbered, "_file").withColumnRenamed("day", DAY)
-    rows = rows.repartitionById(count, F.col("_task")).sortWithinPartitions("_task", "date")
+    rows = rows.repartitionById(tasks, F.col("_task")).sortWithinPartitions(DAY, "date")
     added = written(found.store(rows.select(*schema.names, DAY), None))
     of_day = small.select("day", F.explode("batches").alias("b")).groupBy("day").agg(
         F.sort_array(F.collect_set("b")).alias("batches")

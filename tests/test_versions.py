@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,39 @@ def test_compaction(spark, tmp_path):
     assert pids(spark, root) == [*range(84), 500] and found.versions() == [version + 3]
 
 
+def test_tasks_of_many_days(spark, tmp_path, monkeypatch):
+    """Tasks follow the bytes and not the days; a file is of one bin, its rows by time."""
+    root, seen, plain = str(tmp_path), [], type(spark.range(0)).repartitionById
+    lines = [(f"<13>1 {dt.date(2024, 1, 1) + dt.timedelta(n % 60)}T{n % 24:02d}:00:00Z h p {n} - - text",) for n in range(600)]
+    for batch in range(3):
+        some = spark.createDataFrame(lines[200 * batch : 200 * batch + 200], "value string").coalesce(2)
+        plan.intake(some, root, ref_time=REF, ingest_time=now(), batch_id=batch, keep="cache", writer=versioned_writer,
+                    store_procid=True)
+    found = VersionedTable(spark, f"{root}/syslog")
+    small = {r.file: (r.day, r.bytes) for r in found.live().collect()}
+    target = max(size for _, size in small.values()) * 3 // 2
+    want = {}
+    for name, (day, size) in sorted(small.items()):
+        before = want.setdefault(day, [])
+        before.append((sum(s for _, s in before), size))
+    bins_of = {day: len({at // target for at, _ in files}) for day, files in want.items()}
+
+    def count(df, number, *columns):
+        seen.append(number)
+        return plain(df, number, *columns)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartitionById", count)
+    assert compact(spark, root, "syslog", target_bytes=target, hot_rows=2)
+    # Two for each core, and not one for each of 120 bins.
+    assert seen == [min(sum(bins_of.values()), 2 * spark.sparkContext.defaultParallelism)]
+    files = found.live().collect()
+    assert {d: sum(f.day == d for f in files) for d in bins_of} == bins_of
+    for f in files:
+        dates = pq.ParquetFile(f"{root}/syslog/data/{f.file}").read(["date"]).column("date").to_pylist()
+        assert dates == sorted(dates) and {d.date() for d in dates} == {f.day}
+    assert pids(spark, root) == list(range(600))
+
+
 def test_changes_at_the_same_time(spark, tmp_path):
     """A batch that comes in between stays; files that are gone meanwhile are a conflict."""
     root = str(tmp_path)
